@@ -152,7 +152,7 @@ def _slices(df, keys, order, parts, found, size, before, after) -> DataFrame:
 
 
 _MERGE = {
-    "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
     "count": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
     "min": (F.min, lambda a, b: F.least(a, b)),
     "max": (F.max, lambda a, b: F.greatest(a, b)),
@@ -165,13 +165,15 @@ def running(
     df: DataFrame,
     aggs: Mapping[str, tuple[str, Column]],
     within: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Add running aggregates (first row up to this one) as columns.
 
     `aggs` maps an output name to (`sum`|`count`|`min`|`max`, column); `within` adds partition
-    columns below the key. `df` is `keyed.df` with columns added, halo rows still in it.
+    columns below the key; `strict` leaves the current row out. `df` is `keyed.df` with columns
+    added, halo rows still in it.
     """
-    spec = keyed.window(*within).rowsBetween(Window.unboundedPreceding, 0)
+    spec = keyed.window(*within).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
     if not keyed.sliced:
         return df.select("*", *(_FIRST[fn](col).over(spec).alias(name) for name, (fn, col) in aggs.items()))
 
