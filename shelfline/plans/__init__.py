@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("inventory",)
+_MODULES = ("inventory", "state", "quiet", "routes")
 
 
 def load_all() -> None:

@@ -130,7 +130,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 EVENTS = """tracked AS (
-  SELECT event_id, epoch_ms(ts) AS ts, user_id,
+  SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id,
          CASE event_type WHEN 'view' THEN 'PRODUCT_VIEW' WHEN 'click' THEN 'RECOMMENDATION_CLICKED'
               WHEN 'purchase' THEN 'ORDER_PLACED' WHEN 'signup' THEN 'CATEGORY_BROWSE'
               ELSE upper(event_type) END AS event_type,
@@ -158,7 +158,7 @@ def cart_actions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CART_ACTIONS = """cart_actions AS (
-  SELECT user_id AS cart_id, epoch_ms(ts) AS ts, event_id AS seq,
+  SELECT user_id AS cart_id, epoch_us(ts) // 1000 AS ts, event_id AS seq,
          CASE WHEN event_type IN ('view', 'click') THEN 'ADD' WHEN event_type = 'signup' THEN 'UPDATE_QUANTITY'
               WHEN event_type = 'error' THEN 'REMOVE' WHEN event_id % 20 = 0 THEN 'CLEAR' ELSE 'ADD' END AS action,
          CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS product_id,
