@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("inventory", "state", "quiet", "routes")
+_MODULES = ("inventory", "state", "quiet", "routes", "messages", "read_model")
 
 
 def load_all() -> None:
