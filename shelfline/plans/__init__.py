@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("inventory", "state", "quiet", "routes", "messages", "read_model")
+_MODULES = ("inventory", "state", "quiet", "routes", "messages", "read_model", "shop", "activity", "social")
 
 
 def load_all() -> None:
