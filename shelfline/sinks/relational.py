@@ -47,3 +47,29 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 
 def write_jdbc(df: DataFrame, mode: str = "append", **options: str) -> None:
     df.write.format("jdbc").options(**options).mode(mode).save()
+
+
+def order_tables(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Confirmed orders and their lines as rows of the `orders` and `order_items` tables."""
+    money = "decimal(12,2)"
+    head = orders.where(F.col("status") == "CONFIRMED").select(
+        "order_id", F.col("user_id").alias("customer_id"), F.timestamp_millis("ts").alias("order_date"), "status",
+        *(F.col(c).cast(money).alias(c) for c in ("subtotal", "tax", "shipping", "total_amount")),
+    )
+    lines = items.join(head.select("order_id"), "order_id", "left_semi").select(
+        "order_id", "product_id", "quantity",
+        *((F.col(f"{c}_cents") / 100).cast("decimal(10,2)").alias(name)
+          for c, name in (("price", "unit_price"), ("discount", "discount"), ("line_total", "line_total"))),
+    )
+    return head, lines
+
+
+def order_sink(head: dict[str, str], lines: dict[str, str]):
+    """A `foreachBatch` function for (orders, items) that appends to the two tables over JDBC."""
+
+    def write(orders: DataFrame, items: DataFrame) -> None:
+        order_rows, item_rows = order_tables(orders, items)
+        write_jdbc(order_rows, **head)
+        write_jdbc(item_rows, **lines)
+
+    return write
