@@ -36,6 +36,15 @@ def _split(tagged: DataFrame, fields: list[str], raw: list[str]) -> Parsed:
     )
 
 
+def parse_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """Add an expensive expression as a column that later filters cannot pull it out of.
+
+    A filter on a plain column is pushed below it and repeats its expression for every use; one on
+    the output of a generator stays above, so each record is parsed once.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def field_names(ddl: str) -> list[str]:
     return [part.strip().split(" ")[0].rstrip(":") for part in _top_level(ddl)]
 
@@ -62,10 +71,6 @@ def trimmed(text: Column) -> Column:
 
 # ---- Products ------------------------------------------------------------------------------------
 
-_PRODUCT_TEXT = (
-    "productId STRING, name STRING, description STRING, price STRING, category STRING, brand STRING, "
-    "imageUrl STRING, inventory STRING, tags ARRAY<STRING>, rating STRING, reviewCount STRING"
-)
 _PRODUCT_INTS = ("inventory", "reviewCount")
 _PRODUCT_DOUBLES = ("price", "rating")
 
@@ -76,24 +81,22 @@ def parse_products(df: DataFrame) -> Parsed:
     Text that is neither, malformed JSON, unknown fields and unreadable numbers are rejected; null
     array elements are skipped.
     """
-    names = field_names(_PRODUCT_TEXT)
+    names = field_names(S.PRODUCT)
     body = trimmed(F.col(VALUE))
     is_array, is_object = body.startswith("["), body.startswith("{")
     texts = F.when(is_array, F.from_json(body, "array<string>")).when(is_object, F.array(body))
     elements = F.transform(
         F.filter(texts, lambda t: t.isNotNull()),
-        lambda t: F.struct(
-            F.json_object_keys(t).alias("keys"), F.from_json(t, _PRODUCT_TEXT).alias("p")
-        ),
+        lambda t: F.struct(F.from_json(t, "map<string,string>").alias("m")),
     )
 
     def unreadable(e: Column) -> Column:
-        p = e["p"]
-        numbers = [p[c].isNotNull() & to_int(p[c]).isNull() for c in _PRODUCT_INTS]
-        numbers += [p[c].isNotNull() & p[c].try_cast("double").isNull() for c in _PRODUCT_DOUBLES]
-        wrong = e["keys"].isNull() | (F.size(F.array_except(e["keys"], F.array(*map(F.lit, names)))) > 0)
-        for test in numbers:
-            wrong = wrong | test
+        m = e["m"]
+        wrong = m.isNull() | (F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, names)))) > 0)
+        for c in _PRODUCT_INTS:
+            wrong = wrong | (m[c].isNotNull() & to_int(m[c]).isNull())
+        for c in _PRODUCT_DOUBLES:
+            wrong = wrong | (m[c].isNotNull() & m[c].try_cast("double").isNull())
         return wrong
 
     reason = (
@@ -101,63 +104,58 @@ def parse_products(df: DataFrame) -> Parsed:
         .when(F.col("_elements").isNull(), "malformed JSON")
         .when(F.exists("_elements", unreadable), "unknown field or unreadable value")
     )
-    read = (
-        df.where((body != "") & body.isNotNull())
-        .withColumn("_elements", elements)
-        .withColumn("reject_reason", reason)
-    )
-    kept = F.when(F.col("reject_reason").isNull(), F.col("_elements.p"))
-    rejected = F.when(F.col("reject_reason").isNotNull(), F.array(F.lit(None).cast(f"struct<{_typed(_PRODUCT_TEXT)}>")))
-    tagged = read.withColumn("_p", F.explode(F.coalesce(kept, rejected))).drop("_elements")
+    read = parse_once(df.where((body != "") & body.isNotNull()), "_elements", elements)
+    read = read.withColumn("reject_reason", reason)
+    # A rejected text gives one row without a product.
+    kept = F.when(F.col("reject_reason").isNull(), F.col("_elements.m"))
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    tagged = read.withColumn("_m", F.explode(F.coalesce(kept, none))).drop("_elements")
 
     def typed(name: str) -> Column:
-        c = F.col("_p")[name]
+        c = F.col("_m")[name]
         if name in _PRODUCT_INTS:
             c = F.coalesce(to_int(c), F.lit(0))
         elif name in _PRODUCT_DOUBLES:
             c = F.coalesce(c.try_cast("double"), F.lit(0.0))
+        elif name == "tags":
+            c = F.from_json(c, "array<string>")
         return F.when(F.col("reject_reason").isNull(), c).alias(name)
 
     tagged = tagged.select(*df.columns, *(typed(n) for n in names), "reject_reason")
     return _split(tagged, names, df.columns)
 
 
-def _typed(ddl: str) -> str:
-    return ", ".join(":".join(p.strip().split(" ", 1)) for p in _top_level(ddl))
-
-
 # ---- Order items ---------------------------------------------------------------------------------
 
 
 def _node_text(name: str) -> Column:
     """A JSON field as text: empty when absent, the word `null` when it is null."""
-    value = F.get_json_object(VALUE, f"$.{name}")
-    present = F.array_contains(F.json_object_keys(VALUE), name)
-    return F.when(value.isNotNull(), value).when(present, F.lit("null")).otherwise("")
+    value = F.col("_m")[name]
+    return F.when(value.isNotNull(), value).when(F.map_contains_key("_m", name), F.lit("null")).otherwise("")
 
 
 def _node_long(name: str) -> Column:
-    value = F.get_json_object(VALUE, f"$.{name}")
+    value = F.col("_m")[name]
     return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"), F.lit(0).cast("long"))
 
 
 def parse_order_items(df: DataFrame) -> Parsed:
     """Text to order items; without order, product or a positive quantity they are rejected."""
-    read = df.select(
-        "*",
-        F.json_object_keys(VALUE).alias("_keys"),
+    read = parse_once(df, "_m", F.from_json(VALUE, "map<string,string>")).select(
+        *df.columns,
+        F.col("_m").isNull().alias("_broken"),
         _node_text("orderId").alias("orderId"),
         _node_text("productId").alias("productId"),
-        F.coalesce(to_int(F.get_json_object(VALUE, "$.quantity")), F.lit(0)).alias("quantity"),
+        F.coalesce(to_int(F.col("_m")["quantity"]), F.lit(0)).alias("quantity"),
         _node_long("timestamp").alias("timestamp"),
     )
     reason = (
-        F.when(F.col("_keys").isNull(), "malformed JSON")
+        F.when(F.col("_broken"), "malformed JSON")
         .when(F.col("orderId") == "", "no orderId")
         .when(F.col("productId") == "", "no productId")
         .when(F.col("quantity") <= 0, "quantity not positive")
     )
-    tagged = read.withColumn("reject_reason", reason).drop("_keys")
+    tagged = read.withColumn("reject_reason", reason).drop("_broken")
     return _split(tagged, field_names(S.ORDER_ITEM), df.columns)
 
 
@@ -166,7 +164,7 @@ def parse_order_items(df: DataFrame) -> Parsed:
 
 def change_records(df: DataFrame) -> DataFrame:
     """Change-capture text as one typed `r` column, parsed once."""
-    return df.withColumn("r", F.from_json(VALUE, S.CHANGE_RECORD))
+    return parse_once(df, "r", F.from_json(VALUE, S.CHANGE_RECORD))
 
 
 def inserted(df: DataFrame, table: str) -> DataFrame:
@@ -258,14 +256,14 @@ def partial_products(df: DataFrame) -> DataFrame:
 
     PRODUCT_ADDED and unreadable records drop out; a field that is absent or null stays null.
     """
-    field = lambda name: F.get_json_object(VALUE, f"$.{name}")
-    return df.select(
+    read = parse_once(df, "_m", F.from_json(VALUE, "map<string,string>"))
+    field = lambda name: F.col("_m")[name]
+    return read.where((field("eventType") != "PRODUCT_ADDED") & field("productId").isNotNull()).select(
         *[c for c in df.columns if c != VALUE],
-        field("eventType").alias("_type"),
         field("productId").alias("product_id"),
         to_int(field("currentInventory")).alias("inventory"),
         field("currentPrice").try_cast("double").alias("price"),
-    ).where((F.col("_type") != "PRODUCT_ADDED") & F.col("product_id").isNotNull()).drop("_type")
+    )
 
 
 # ---- Tracked events ------------------------------------------------------------------------------
@@ -273,16 +271,16 @@ def partial_products(df: DataFrame) -> DataFrame:
 
 def parse_tracked(df: DataFrame) -> Parsed:
     """Text to tracked events; an unknown event type rejects that event only."""
-    read = df.withColumn("e", F.from_json(VALUE, S.TRACKED_EVENT))
+    read = parse_once(df, "e", F.from_json(VALUE, f"{S.TRACKED_EVENT}, _broken STRING", {"columnNameOfCorruptRecord": "_broken"}))
     kind = F.col("e.eventType")
     reason = (
-        F.when(F.json_object_keys(VALUE).isNull(), "malformed JSON")
+        F.when(F.col("e").isNull() | F.col("e._broken").isNotNull(), "malformed JSON")
         .when(kind.isNull(), "no event type")
         .when(~kind.isin(*S.TRACKED_EVENT_TYPES), "unknown event type")
     )
     # The record has a `value` field of its own, so the text moves to `text`.
     raw = [F.col(c).alias("text") if c == VALUE else F.col(c) for c in df.columns]
-    tagged = read.withColumn("reject_reason", reason).select(*raw, "e.*", "reject_reason")
+    tagged = read.withColumn("reject_reason", reason).select(*raw, "e.*", "reject_reason").drop("_broken")
     ok = F.col("reject_reason").isNull()
     others = [c for c in df.columns if c != VALUE]
     return Parsed(
@@ -414,7 +412,7 @@ def geo_features(lines: DataFrame) -> DataFrame:
     """GeoJSON feature lines to coordinates. GeoJSON puts the longitude first."""
     text = F.regexp_replace(trimmed(F.col(VALUE)), ",$", "")
     point = F.from_json(text, "geometry STRUCT<coordinates: ARRAY<DOUBLE>>")["geometry"]["coordinates"]
-    return lines.select(*[c for c in lines.columns if c != VALUE], point.alias("_c")).where(F.size("_c") >= 2).select(
+    return parse_once(lines, "_c", point).where(F.size("_c") >= 2).select(
         *[c for c in lines.columns if c != VALUE],
         F.element_at("_c", 2).alias("latitude"),
         F.element_at("_c", 1).alias("longitude"),

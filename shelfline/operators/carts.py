@@ -20,42 +20,30 @@ def fold_cart(actions: DataFrame, mode: str = "append", order: Sequence[str] = O
     `append`: every ADD is a line of its own, UPDATE_QUANTITY changes the first of them.
     `upsert`: an ADD of a product already there only sets its quantity; the old price stays.
     REMOVE drops the product's lines, CLEAR all lines, and actions on absent lines do nothing.
-    Aggregates only: no task ever holds a cart's whole log.
     """
     if mode not in ("append", "upsert"):
         raise ValueError(f"unknown cart mode {mode!r}")
     at = F.struct(*order)
-    cleared = actions.where(F.col("action") == "CLEAR").groupBy("cart_id").agg(F.max(at).alias("_cleared"))
-    lines = actions.where(F.col("action").isin("ADD", "UPDATE_QUANTITY", "REMOVE"))
-    removed = (
-        lines.where(F.col("action") == "REMOVE").groupBy(*LINE).agg(F.max(at).alias("_removed"))
-    )
-    live = (
-        lines.where(F.col("action") != "REMOVE")
-        .join(cleared, "cart_id", "left")
-        .join(removed, list(LINE), "left")
-        .where(F.col("_cleared").isNull() | (at > F.col("_cleared")))
-        .where(F.col("_removed").isNull() | (at > F.col("_removed")))
-        .drop("_cleared", "_removed")
-    )
     is_add = F.col("action") == "ADD"
+    live = _since_reset(actions, order).where(F.col("action").isin("ADD", "UPDATE_QUANTITY"))
+    sets = F.lit(True) if mode == "upsert" else ~is_add
     amount = F.col("price_cents") * F.col("quantity")
-    added = live.where(is_add).groupBy(*LINE).agg(
-        F.min(at).alias("_first"),
-        F.min_by("price_cents", at).alias("_price"),
-        F.min_by("quantity", at).alias("_first_quantity"),
-        F.sum("quantity").alias("_quantity"),
-        F.sum(amount).alias("_cents"),
-        F.count("*").alias("lines"),
-    )
-    sets = live if mode == "upsert" else live.where(~is_add)
-    last_set = (
-        sets.join(added.select(*LINE, "_first"), list(LINE), "inner")
-        .where(at > F.col("_first"))
-        .groupBy(*LINE)
-        .agg(F.max_by("quantity", at).alias("_set"))
+    folded = (
+        live.groupBy(*LINE)
+        .agg(
+            F.min(F.when(is_add, at)).alias("_first"),
+            F.min_by("price_cents", F.when(is_add, at)).alias("_price"),
+            F.min_by("quantity", F.when(is_add, at)).alias("_first_quantity"),
+            F.sum(F.when(is_add, F.col("quantity"))).alias("_quantity"),
+            F.sum(F.when(is_add, amount)).alias("_cents"),
+            F.count_if(is_add).alias("lines"),
+            F.max(F.when(sets, at)).alias("_last"),
+            F.max_by("quantity", F.when(sets, at)).alias("_last_quantity"),
+        )
+        .where(F.col("_first").isNotNull())
+        # A quantity set before there was a line had no line to change.
+        .withColumn("_set", F.when(F.col("_last") > F.col("_first"), F.col("_last_quantity")))
     )
-    folded = added.join(last_set, list(LINE), "left")
     first = F.coalesce("_set", "_first_quantity")
     if mode == "upsert":
         return folded.select(
@@ -73,6 +61,24 @@ def fold_cart(actions: DataFrame, mode: str = "append", order: Sequence[str] = O
     )
 
 
+def _since_reset(actions: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Actions with no later CLEAR of their cart and no later REMOVE of their product.
+
+    Read backwards these are the rows ahead of the first reset; one shuffle on the cart serves both
+    tests and the grouping after them.
+    """
+    back = [f"_back_{c}" for c in order]
+    reversed_ = actions.select("*", *((-F.col(c)).alias(b) for c, b in zip(order, back)))
+    keyed = order_by_key(reversed_, ["cart_id"], back)
+    one = F.lit(1)
+    df = running(keyed, keyed.df, {"_clears": ("count", F.when(F.col("action") == "CLEAR", one))})
+    df = running(
+        keyed, df, {"_removes": ("count", F.when(F.col("action") == "REMOVE", one))}, within=["product_id"]
+    )
+    fresh = (F.coalesce("_clears", F.lit(0)) == 0) & (F.coalesce("_removes", F.lit(0)) == 0)
+    return keyed.finish(df.where(fresh)).drop("_clears", "_removes", *back)
+
+
 def cart_summary(lines: DataFrame) -> DataFrame:
     """Item count and total of every cart."""
     return lines.groupBy("cart_id").agg(
