@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.session import materialise
+
 
 def basket_rules(
     lines: DataFrame,
@@ -19,17 +21,22 @@ def basket_rules(
     Items below `min_support` cannot be in a rule and go first, so a basket holds at most the
     frequent items: no more than (mean basket size / `min_support`) of them however long it is.
     """
-    pairs = lines.select(basket, item).distinct()
-    baskets = pairs.select(basket).distinct().count()
+    baskets = lines.select(basket).distinct().count()
     least = min_support * baskets
-    frequent = pairs.groupBy(item).agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select(item)
-    kept = pairs.join(frequent, item, "left_semi")
-    # Baskets left empty still count in the support.
-    items = (
-        pairs.select(basket).distinct().join(
-            kept.groupBy(basket).agg(F.collect_set(item).alias("items")), basket, "left"
-        )
-    ).select(F.coalesce("items", F.array().cast(kept.select(F.array(item)).schema[0].dataType)).alias("items"))
+    frequent = (
+        lines.select(basket, item).distinct().groupBy(item).agg(F.count("*").alias("_n"))
+        .where(F.col("_n") >= least)
+        .select(item, F.lit(True).alias("_frequent"))
+    )
+    # Baskets left without a frequent item still count in the support. FP-growth reads its input
+    # several times, so it is written once.
+    items = materialise(
+        lines.select(basket, item)
+        .join(frequent, item, "left")
+        .groupBy(basket)
+        .agg(F.collect_set(F.when(F.col("_frequent"), F.col(item))).alias("items"))
+        .select("items")
+    )
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     return model.associationRules.withColumn("baskets", F.lit(baskets).cast("long"))
 

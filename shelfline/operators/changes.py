@@ -72,8 +72,8 @@ def track_changes(products: DataFrame, order: Sequence[str] = ORDER, ttl_ms: int
             change(F.lit("PRICE_CHANGE"), nothing, nothing, nothing, F.col("previous_price"), F.col("price"), nothing),
         ),
     ]
-    found = F.filter(F.array(*candidates), lambda c: c.isNotNull())
-    return df.select(KEY, *order, F.explode(found).alias("c")).select(KEY, *order, "c.*")
+    exploded = df.select(KEY, *order, F.explode(F.array(*candidates)).alias("c"))
+    return exploded.where(F.col("c").isNotNull()).select(KEY, *order, "c.*")
 
 
 def product_entries(products: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
@@ -166,6 +166,6 @@ def single_events(products: DataFrame, order: Sequence[str] = ORDER, low_upto: i
             ),
         ),
     ]
-    found = F.filter(F.array(*candidates), lambda c: c.isNotNull())
     kept = [KEY, *order, "name", F.col("inventory").alias("current_inventory")]
-    return df.select(*kept, F.explode(found).alias("e")).select(KEY, *order, "name", "current_inventory", "e.*")
+    exploded = df.select(*kept, F.explode(F.array(*candidates)).alias("e")).where(F.col("e").isNotNull())
+    return exploded.select(KEY, *order, "name", "current_inventory", "e.*")

@@ -70,25 +70,27 @@ def _replay(keyed: Keyed) -> DataFrame:
     spec = keyed.window()
     so_far = spec.rowsBetween(Window.unboundedPreceding, 0)
     qty = F.coalesce(F.col("qty"), F.lit(0)).cast("long")
-    set_here = F.when(
-        is_product(),
-        F.struct(
-            F.col("inventory").cast("long").alias("inventory"),
-            F.col("price").alias("price"),
-            F.col("name").alias("name"),
-            F.col("ordered").alias("ordered"),
-        ),
-    )
     df = keyed.df.withColumn("ordered", F.sum(F.when(~is_product(), qty).otherwise(0)).over(so_far))
-    df = df.withColumn("base", F.last(set_here, ignorenulls=True).over(so_far))
-    since = F.col("ordered") - F.col("base.ordered")
+
+    def last_set(value: Column) -> Column:
+        return F.last(F.when(is_product(), value), ignorenulls=True).over(so_far)
+
+    # Plain columns, not one struct: Spark keeps their running values in place. A missing price is 0,
+    # as the parsers have it; a missing name comes back as null.
     df = df.select(
         "*",
-        _at_least_zero(F.col("base.inventory") - since).alias("current_inventory"),
-        _at_least_zero(F.col("base.inventory") - since + qty).alias("_before_order"),
-        F.col("base.price").alias("current_price"),
-        F.col("base.name").alias("product_name"),
+        last_set(F.coalesce(F.col("inventory").cast("long"), F.lit(0))).alias("base"),
+        last_set(F.coalesce(F.col("price"), F.lit(0.0))).alias("current_price"),
+        last_set(F.coalesce(F.col("name"), F.lit(""))).alias("_name"),
+        last_set(F.col("ordered")).alias("_ordered_then"),
     )
+    since = F.col("ordered") - F.col("_ordered_then")
+    df = df.select(
+        "*",
+        _at_least_zero(F.col("base") - since).alias("current_inventory"),
+        _at_least_zero(F.col("base") - since + qty).alias("_before_order"),
+        F.nullif("_name", F.lit("")).alias("product_name"),
+    ).drop("_name", "_ordered_then")
     df = df.select(
         "*",
         F.lag("current_inventory").over(spec).alias("_lag_inventory"),
@@ -283,9 +285,9 @@ def price_drop_alert() -> Column:
 
 def _emit(entries: DataFrame, candidates: Sequence[Column], drop: Sequence[str] = ()) -> DataFrame:
     """One row per non-null candidate struct, in one pass over the rows."""
-    found = F.filter(F.array(*candidates), lambda c: c.isNotNull())
     kept = [c for c in entries.columns if c not in drop]
-    return entries.select(*kept, F.explode(found).alias("_e")).select(*kept, "_e.*")
+    exploded = entries.select(*kept, F.explode(F.array(*candidates)).alias("_e"))
+    return exploded.where(F.col("_e").isNotNull()).select(*kept, "_e.*")
 
 
 # ---------------------------------------------------------------------------------------------

@@ -14,10 +14,8 @@ MAIN = "main"
 
 def route(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Every row once per output it belongs to, tagged in `output`: one scan however many outputs."""
-    tags = F.filter(
-        F.array(*(F.when(cond, F.lit(tag)) for tag, cond in rules.items())), lambda t: t.isNotNull()
-    )
-    return df.withColumn(OUTPUT, F.explode(tags))
+    tags = F.array(*(F.when(cond, F.lit(tag)) for tag, cond in rules.items()))
+    return df.withColumn(OUTPUT, F.explode(tags)).where(F.col(OUTPUT).isNotNull())
 
 
 def slice_of(routed: DataFrame, tag: str) -> DataFrame:
