@@ -26,9 +26,13 @@ def millis(col: str):
 
 
 def ledger_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return as_ledger_rows(table(spark, folder, "lineitem"))
+
+
+def as_ledger_rows(lines: DataFrame) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     units = F.col("l_quantity").cast("int")
-    return table(spark, folder, "lineitem").select(
+    return lines.select(
         F.col("l_partkey").alias("product_id"),
         millis("l_shipdate").alias("ts"),
         F.col("l_orderkey").alias("order_id"),

@@ -64,7 +64,7 @@ def ledger_step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFram
     opening = touched.select(
         KEY,
         F.col("ts"),
-        F.lit(None).cast("long").alias("seq"),
+        F.lit(None).cast(batch.schema["seq"].dataType).alias("seq"),
         F.lit("PRODUCT").alias("kind"),
         "inventory", "price", "name",
         F.lit(0).alias("_live"),
