@@ -8,7 +8,8 @@ from shelfline.operators import ledger as L
 from shelfline.operators import routing as R
 from shelfline.operators.running import cents, running_global
 from shelfline.plans import tables as t
-from shelfline.plans.registry import query
+from shelfline.plans import inventory  # noqa: F401  (its SQL is reused below)
+from shelfline.plans.registry import ORACLES, query
 
 
 @query(
@@ -144,7 +145,9 @@ def order_split(spark, folder):
 
 @query(
     "ledger_fanout",
-    None,
+    f"""WITH e AS ({ORACLES["inventory_events"]}), a AS ({ORACLES["inventory_alerts"]})
+SELECT 'inventory-events' AS topic, event_type AS kind, count(*) AS n FROM e GROUP BY 2
+UNION ALL SELECT 'inventory-alerts', alert_type, count(*) FROM a GROUP BY 2""",
 )
 def ledger_fanout(spark, folder):
     """Events and alerts of one ledger pass, counted per sink."""
