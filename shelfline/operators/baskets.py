@@ -6,7 +6,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import materialise
+from shelfline.session import broadcast_if_small, materialise
 
 
 def basket_rules(
@@ -32,7 +32,7 @@ def basket_rules(
     # several times, so it is written once.
     items = materialise(
         lines.select(basket, item)
-        .join(frequent, item, "left")
+        .join(broadcast_if_small(frequent), item, "left")
         .groupBy(basket)
         .agg(F.collect_set(F.when(F.col("_frequent"), F.col(item))).alias("items"))
         .select("items")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.operators import catalog as G
 from shelfline.operators import views as V
-from shelfline.operators.keyed import last_n, latest
+from shelfline.operators.keyed import last_n, latest, order_by_key, running
 from shelfline.plans import tables as t
 from shelfline.plans.registry import query
 
@@ -169,27 +170,21 @@ WHERE category = 'LARGE' AND price BETWEEN 905 AND 980 AND (contains(lower(name)
 def browse_products(spark, folder):
     """All matches in price order; `rank` numbers the sorted rows."""
     page = G.browse(t.catalogue(spark, folder), "LARGE", "red", (905, 980), "price-high").select(*ALL.split(", "))
-    return _ranked(page, "price DESC, product_id")
-
-
-def _ranked(page, order):
-    """Number sorted rows: counts per price come first, so no task numbers the whole page."""
-    per_price = page.groupBy("price").agg(F.count("*").alias("_n"))
-    from pyspark.sql import Window
-
-    ahead = per_price.select(
-        "price",
-        F.coalesce(
-            F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy(F.col("price").desc()).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_ahead"),
-    )
-    inside = Window.partitionBy("price").orderBy("product_id")
-    return (
-        page.join(ahead, "price")
-        .withColumn("rank", F.col("_ahead") + F.row_number().over(inside))
-        .drop("_ahead")
+    return _ranked(page)
+
+
+def _ranked(page):
+    """Number products by falling price, then id: within a price, and ahead of it by counts per price."""
+    keyed = order_by_key(page, ["price"], ["product_id"])
+    inside = keyed.finish(running(keyed, keyed.df, {"_at": ("count", F.col("product_id"))}))
+    dearer = Window.partitionBy(F.lit(0)).orderBy(F.col("price").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        page.groupBy("price")
+        .agg(F.count("*").alias("_n"))
+        # One row per price between the bounds of the page, at most one per cent of money.
+        .select("price", F.coalesce(F.sum("_n").over(dearer), F.lit(0)).alias("_ahead"))
     )
+    return inside.join(ahead, "price").withColumn("rank", F.col("_ahead") + F.col("_at")).drop("_ahead", "_at")
 
 
 @query("trending", "WITH " + t.CATALOGUE + " SELECT product_id, review_count FROM catalogue ORDER BY review_count DESC, product_id LIMIT 8")

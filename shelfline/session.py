@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A key with more rows than this is cut into slices of this many rows.
 SLICE_ROWS = "spark.shelfline.sliceRows"
@@ -64,6 +65,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """`df` written once and counted; hinted for broadcast up to `max_rows` rows, else left to a shuffle."""
+    kept = materialise(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files and tables under `df`, as Spark's own statistics give them."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
