@@ -136,16 +136,16 @@ def _slices(df, keys, order, parts, found, size, before, after) -> DataFrame:
     placed = match(ranged, starts, [*keys, "_part"], "inner").select(
         *df.columns, (F.col("_ahead") + F.col("_id") - F.col("_first")).alias("_pos")
     )
-    own = F.floor(F.col("_pos") / size).cast("long")
     offset = F.col("_pos") % size
+    own = ((F.col("_pos") - offset) / size).cast("long")
     homes = [own]
     if before:
         homes.append(F.when(offset >= size - before, own + 1))
     if after:
         homes.append(F.when((offset < after) & (own > 0), own - 1))
-    copies = F.filter(F.array(*homes), lambda s: s.isNotNull())
     return (
-        placed.withColumn(SLICE, F.explode(copies))
+        placed.withColumn(SLICE, F.explode(F.array(*homes)))
+        .where(F.col(SLICE).isNotNull())
         .withColumn(HALO, F.col(SLICE) != own)
         .drop("_pos")
     )

@@ -10,7 +10,7 @@ Unlike per-key processors this runs on window expressions and slices hot product
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +94,7 @@ def ledger_sink(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read for its keys, for hot keys and for the ledger
         entries, now = ledger_step(batch, state.before(spark, batch_id))
         entries = entries.persist()
         try:
@@ -102,6 +103,25 @@ def ledger_sink(
             state.write(spark, batch_id, now)
         finally:
             entries.unpersist()
+            batch.unpersist()
+
+    return handle
+
+
+def view_sink(
+    state: StateTable, order: Sequence[str], publish: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that keeps the latest row per key and publishes the whole view.
+
+    With a trigger of 30 seconds this is the periodic sync of a read model to its clients.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        touched = state.before(spark, batch_id).join(batch.select(state.key).distinct(), state.key, "left_semi")
+        rows = touched.unionByName(batch.select(*touched.columns))
+        state.write(spark, batch_id, latest(rows, [state.key], order))
+        publish(state.before(spark, batch_id + 1), batch_id)
 
     return handle
 

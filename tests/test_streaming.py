@@ -2,6 +2,7 @@
 
 import random
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from shelfline.operators import running, timers
 from shelfline.plans import jobs
 from shelfline.sinks import topics as out
 from shelfline.streaming import stateful as st
-from shelfline.streaming.micro_batches import StateTable, ledger_step
+from shelfline.streaming.micro_batches import StateTable, ledger_step, view_sink
 
 LEDGER = "product_id STRING, ts LONG, seq LONG, kind STRING, order_id STRING, qty INT, inventory INT, price DOUBLE, name STRING"
 HOUR = 3_600_000
@@ -117,7 +118,7 @@ def test_micro_batch_ledger_equals_batch(spark, tmp_path, files):
     rows = log(150, 8)
     folder = write_files(spark, rows, LEDGER, tmp_path / "in", files)
     sinks = {n: out.folder_sink(str(tmp_path / n)) for n in (S.TOPIC_INVENTORY_EVENTS, S.TOPIC_UI_FANOUT, S.TOPIC_INVENTORY_ALERTS)}
-    query = jobs.start_inventory(read_stream(spark, folder, LEDGER), sinks, name=f"inv-{tmp_path.name}")
+    query = jobs.start_inventory(read_stream(spark, folder, LEDGER), sinks, name=f"inventory-{uuid.uuid4().hex}")
     query.awaitTermination()
     entries = L.ledger(spark.createDataFrame(rows, LEDGER))
     for topic, expected in (
@@ -130,10 +131,10 @@ def test_micro_batch_ledger_equals_batch(spark, tmp_path, files):
 
 
 def test_state_table_survives_retries_and_compaction(spark, tmp_path):
-    rows = log(90, 21)
-    state = StateTable(str(tmp_path / "state"), full_every=3)
+    rows = log(50, 21)
+    state = StateTable(str(tmp_path / "state"), full_every=2)
     seen = []
-    for i in range(9):
+    for i in range(5):
         batch = spark.createDataFrame(rows[i * 10 : (i + 1) * 10], LEDGER)
         for attempt in range(2):  # every batch runs twice, as after a failure
             entries, now = ledger_step(batch, state.before(spark, i))
@@ -143,6 +144,22 @@ def test_state_table_survives_retries_and_compaction(spark, tmp_path):
     assert sorted(seen, key=str) == found(L.ledger(spark.createDataFrame(rows, LEDGER)), *COLS)
 
 
+def test_view_is_published_whole_after_every_batch(spark, tmp_path):
+    schema = "product_id STRING, inventory INT, ts LONG"
+    folder = tmp_path / "in"
+    for row in [("a", 1, 1), ("b", 5, 2), ("a", 3, 3)]:
+        write_files(spark, [row], schema, folder, 1)
+    state = StateTable(str(tmp_path / "state"), schema, full_every=2)
+    handle = view_sink(state, ["ts"], out.folder_sink(str(tmp_path / "view")))
+    query = (
+        read_stream(spark, str(folder), schema).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    views = spark.read.parquet(str(tmp_path / "view"))
+    assert found(views, "batch", "product_id", "inventory") == [(0, "a", 1), (1, "a", 1), (1, "b", 5), (2, "a", 3), (2, "b", 5)]
+
+
 def test_snapshots_equal_batch(spark, tmp_path):
     schema = "product_id STRING, ts LONG, seq LONG, inventory INT"
     # Event time 0 would be behind the first watermark.
