@@ -31,6 +31,7 @@ def build_session(app_name: str = "shelfline", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
@@ -45,15 +46,16 @@ def setting(spark: SparkSession, name: str) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (local tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share, from `spark.checkpoint.dir`.
+
+    Where none is set, one machine (a `local` master, as in tests) gets a temporary folder; a cluster gets an error,
+    since its executors could not see each other's files.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="shelfline-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.shelfline.sharedDir", folder)
-        return folder
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
