@@ -1,0 +1,33 @@
+"""Intermediate tables in the folder that all executors share."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfline.session import shared_dir
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder of this application under the shared one; `discard` removes all of them."""
+    return f"{_root(spark)}/{uuid.uuid4().hex}"
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/shelfline-llm/{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back: later stages don't depend on any executor."""
+    spark = df.sparkSession
+    path = folder(spark)
+    df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what `stored` has written in this application; call it once no result is read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
