@@ -6,7 +6,7 @@ queries stand at the end of each module.
 
 import importlib
 
-_MODULES = ("simhash_dedup",)
+_MODULES = ("simhash_dedup", "quality_rules", "packing", "secret_scan", "language_id", "bpe", "token_counts")
 
 
 def load_all() -> None:
