@@ -162,7 +162,7 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, per_language: i
     """`docs` (doc_id, text, …) with a struct column `language` (lang_pred, score), from the text alone.
 
     `labelled` (doc_id, text, lang), by default `docs`, is learned from where it is not held out. Null texts and texts without
-    letters are `und` with score 0, and so is every text if nothing was labelled. Repeated rows get the same answer each; no rows give no rows.
+    letters are `und` with score 0 (a column `language` of the input is replaced), and so is every text if nothing was labelled. Repeated rows get the same answer each; no rows give no rows.
     """
     labelled = docs if labelled is None else labelled
     model = train(labelled.where(~held_out(F.col("doc_id"))), per_language)

@@ -39,44 +39,44 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def with_base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with a struct column `base` (BASE and n_lines: long; base_failed: boolean) from whole texts; null has no words.
 
-    Repeated words are found by sorting the hashes of a text's five-word windows, in the row itself: no shuffle.
+    A column `base` of the input is replaced. Repeated words are found by sorting the hashes of a text's five-word windows, in the row itself: no shuffle.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     trimmed = F.btrim(whole, F.lit(_BLANKS))
-    step = docs.withColumn("_words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE)))
-    step = step.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    n = F.size("_hashes")
-    at = F.col("_hashes")
+    step = docs.withColumn("__words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE)))
+    step = step.withColumn("__hashes", F.transform("__words", lambda w: F.xxhash64(w)))
+    n = F.size("__hashes")
+    at = F.col("__hashes")
     windows = F.transform(
         F.sequence(F.lit(0), n - WINDOW_WORDS), lambda i: F.xxhash64(*[at[i + k] for k in range(WINDOW_WORDS)])
     )
-    step = step.withColumn("_windows", F.when(n >= WINDOW_WORDS, windows).otherwise(F.array().cast("array<bigint>")))
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    ordered = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    step = step.withColumn("_sorted", F.when(repeats, ordered))
-    s, last = F.col("_sorted"), F.size("_sorted") - 1
+    step = step.withColumn("__windows", F.when(n >= WINDOW_WORDS, windows).otherwise(F.array().cast("array<bigint>")))
+    repeats = F.size(F.array_distinct("__windows")) < F.size("__windows")
+    ordered = F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    step = step.withColumn("__sorted", F.when(repeats, ordered))
+    s, last = F.col("__sorted"), F.size("__sorted") - 1
     twice = lambda x, k: ((k > 0) & (s[F.greatest(k - 1, F.lit(0))]["h"] == x["h"])) | (
         (k < last) & (s[F.least(k + 1, last)]["h"] == x["h"])
     )
-    places = F.sort_array(F.array_compact(F.transform("_sorted", lambda x, k: F.when(twice(x, k), x["i"]))))
-    step = step.withColumn("_places", places)
-    p, end = F.col("_places"), F.size("_places") - 1
+    places = F.sort_array(F.array_compact(F.transform("__sorted", lambda x, k: F.when(twice(x, k), x["i"]))))
+    step = step.withColumn("__places", places)
+    p, end = F.col("__places"), F.size("__places") - 1
     covered = F.transform(
-        "_places",
+        "__places",
         lambda x, k: F.when(k == end, WINDOW_WORDS).otherwise(F.least(F.lit(WINDOW_WORDS), p[F.least(k + 1, end)] - x)),
     )
     lines = F.filter(F.split(whole, "\n", -1), lambda x: F.btrim(x, F.lit(_BLANKS)) != "")
-    step = step.withColumn("_covered", F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))).withColumn("_lines", lines)
+    step = step.withColumn("__covered", F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))).withColumn("__lines", lines)
     base = F.struct(
         n.cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         F.regexp_count(whole, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.col("_covered").cast("long").alias("n_repeat_words"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        ((n < 10) | (100 * F.col("_covered").cast("long") > 20 * n)).alias("base_failed"),
+        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
+        F.col("__covered").cast("long").alias("n_repeat_words"),
+        F.size("__lines").cast("long").alias("n_lines"),
+        ((n < 10) | (100 * F.col("__covered").cast("long") > 20 * n)).alias("base_failed"),
     )
-    return step.withColumn("base", base).drop("_words", "_hashes", "_windows", "_sorted", "_places", "_covered", "_lines")
+    return step.withColumn("base", base).drop("__words", "__hashes", "__windows", "__sorted", "__places", "__covered", "__lines")
 
 
 def measures() -> dict[str, Column]:

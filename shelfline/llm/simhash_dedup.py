@@ -144,15 +144,33 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 
 def named_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """`prints` (doc_id, fp, …) with component_id, the smallest doc_id of the row's component."""
+    """`prints` (doc_id, fp, …) with component, the smallest fingerprint of the row's component, and component_id, its smallest doc_id."""
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     parts = materialise(fingerprint_components(distinct.select("fp"), max_bits))
     labelled = distinct.join(parts, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = labelled.join(least, "component").select("fp", "component_id")
+    names = labelled.join(least, "component").select("fp", "component", "component_id")
     return prints.join(names, "fp")
 
 
+def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of `docs` (doc_id, text, …) of each component, with all its columns: the one with the smallest doc_id.
+
+    Rows with a null doc_id come last, of rows that share an id the one with the smallest hash of the row stays, and of equal rows one.
+    """
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")).withColumn("row", F.xxhash64("doc"))
+    prints = stored(rows.select("doc_id", "row", fingerprint(F.col("text"), words).alias("fp")))
+    named = named_components(prints, max_bits).groupBy("component", "doc_id", "row").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "n"))
+    keepers = stored(named.groupBy("component").agg(first.alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.row").alias("kept_row"), "k.n"))
+    same = (F.col("row") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    kept = rows.join(keepers.where("n = 1"), same).select("doc.*")
+    repeated = keepers.where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(rows.join(repeated, same).select("row", "kept_id", "doc").dropDuplicates(["row", "kept_id"]).select("doc.*"))
+
+
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
