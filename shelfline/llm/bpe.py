@@ -9,16 +9,19 @@ about the same length are worked on together, one row of a matrix each, so the t
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.llm.registry import query, table
-from shelfline.llm.words import SPECIAL, WORD_END, WordMemo, byte_letters, id_lists
+from shelfline.llm.words import SPECIAL, WORD_END, WordMemo, byte_letters, id_lists, slices
 
 #: Pieces with more symbols than this are worked on one by one, so that a matrix stays small.
 LONG_PIECE = 128
@@ -154,6 +157,11 @@ def _bpe(path: str) -> SegmentTreeBpe:
     return SegmentTreeBpe(path)
 
 
+@lru_cache(2)
+def _names(path: str) -> pa.Array:
+    return pa.array(_bpe(path).tokens)
+
+
 @lru_cache(2)
 def _memo(path: str) -> WordMemo:
     return WordMemo(_bpe(path))
@@ -169,22 +177,20 @@ def encode(text: Column, path: str) -> Column:
     return of.asNondeterministic()(text)
 
 
-def decode(ids: Column, path: str) -> Column:
-    """Text of a column of ids: this vocabulary has no decoder, so the tokens stand with a space between them; null is empty.
+def _join_tokens(lists: pa.Array, path: str) -> pa.Array:
+    """This vocabulary has no decoder: a text is its tokens with a space between them."""
+    names = _names(path).take(lists.values)
+    return pc.fill_null(pc.binary_join(pa.ListArray.from_arrays(lists.offsets, names), " "), "")
 
-    An id outside of the vocabulary raises an error.
-    """
+
+def decode(ids: Column, path: str) -> Column:
+    """Text of a column of ids, as with the vocabulary file at `path`; null is empty. An id outside of the vocabulary raises an error."""
 
     @F.arrow_udf("string")
     def of(lists: pa.Array) -> pa.Array:
-        tokens = _bpe(path).tokens
-        names = pa.array(tokens)
         if lists.null_count:
-            lists = lists.fill_null(pa.scalar([], lists.type))
-        out = []
-        for found in lists:
-            out.append(" ".join(names.take(found.values).to_pylist()))
-        return pa.array(out, pa.string())
+            lists = id_lists(b"" if x is None else np.array(x, "<i4").tobytes() for x in lists.to_pylist())
+        return _join_tokens(lists, path)
 
     return of.asNondeterministic()(ids)
 
@@ -195,8 +201,15 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no ids and decode to an empty text; repeated rows are encoded each; other columns are
     ignored; no rows give no rows.
     """
-    encoded = docs.select("doc_id", encode(F.col("text"), path).alias("ids"))
-    return encoded.withColumn("decoded", decode(F.col("ids"), path))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, 1):
+                ids = id_lists(_memo(path).ids(x.as_py() for x in some.column(1)))
+                yield pa.record_batch([some.column(0), ids, _join_tokens(ids, path)], ["doc_id", "ids", "decoded"])
+
+    schema = docs.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    return docs.select("doc_id", "text").mapInArrow(code, schema)
 
 
 @query("op8_bpe")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.registry import query, table
 from shelfline.llm.storage import stored
-from shelfline.llm.words import library_memo
+from shelfline.llm.words import library_memo, slices
 
 WIDTH = 2048
 END_ID = 1
@@ -30,12 +30,12 @@ def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
-        for batch in batches:
-            ids = [x + end for x in library_memo(path).ids(x.as_py() for x in batch.column(1))]
+        for some in (x for batch in batches for x in slices(batch, 1)):
+            ids = [x + end for x in library_memo(path).ids(x.as_py() for x in some.column(1))]
             n = np.array([len(x) // 4 for x in ids], np.int64)
             places = before + np.cumsum(n) - n
             before += int(n.sum())
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), pa.array(n), pa.array(places)], ["doc_id", "ids", "n", "before"])
+            yield pa.record_batch([some.column(0), pa.array(ids, pa.binary()), pa.array(n), pa.array(places)], ["doc_id", "ids", "n", "before"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema).withColumn("part", F.spark_partition_id())
 

@@ -121,6 +121,18 @@ def library_memo(path: str) -> WordMemo:
     return WordMemo(library_encoder(path))
 
 
+def slices(batch: pa.RecordBatch, text: int, limit: int = 4 * AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The rows of `batch` in runs of about `limit` bytes of column `text`, so that what is made of a run stays small."""
+    at, size = 0, 0
+    for row, value in enumerate(batch.column(text)):
+        size += len(value.as_buffer()) if value.is_valid else 0
+        if size >= limit:
+            yield batch.slice(at, row + 1 - at)
+            at, size = row + 1, 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def id_lists(encoded: Iterable[bytes]) -> pa.Array:
     """Encoded texts as an Arrow column of lists of 32-bit ids."""
     encoded = list(encoded)
