@@ -38,9 +38,10 @@ class BitSlices:
         self.bits = max(1, (int(rows.max()) - self.low).bit_length()) if rows.size else 1
         padded = np.zeros((-(-len(rows) // 64) * 64, rows.shape[1]), np.int64)
         padded[: len(rows)] = rows - self.low
-        # slices[dimension, bit] is a bitmap over the rows; flipped has its complement within the bits
+        # slices[dimension, bit] is a bitmap over the rows
         bits = (padded.T[:, None, :] >> np.arange(self.bits)[None, :, None]) & 1
-        self.slices = np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").view(np.uint64)
+        packed = np.packbits(bits.astype(np.uint8), axis=2, bitorder="little")
+        self.slices = np.ascontiguousarray(packed).view(np.uint64)
         self.there = np.packbits(np.arange(len(padded)) < len(rows), bitorder="little").view(np.uint64)
 
     def score_slices(self, weights: np.ndarray) -> list[np.ndarray]:
