@@ -1,4 +1,4 @@
-"""Items bought together: association rules over baskets, with MLlib's FP-growth."""
+"""Items bought together: association rules over baskets."""
 
 from __future__ import annotations
 
@@ -6,33 +6,43 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import broadcast_if_small, materialise
+from shelfline.session import stored
 
 
-def basket_rules(
-    lines: DataFrame,
-    basket: str,
-    item: str,
-    min_support: float = 0.01,
-    min_confidence: float = 0.0,
-) -> DataFrame:
-    """Rules `antecedent -> consequent` with confidence and support counts.
+def pair_rules(lines: DataFrame, basket: str, item: str, min_support: float = 0.01, min_confidence: float = 0.0) -> DataFrame:
+    """Rules from one item to one item: `antecedent, consequent, confidence, support, together, baskets`.
 
-    Items below `min_support` cannot be in a rule and go first, so a basket holds at most the
-    frequent items: no more than (mean basket size / `min_support`) of them however long it is.
+    Items below `min_support` cannot be in a rule and go first, so a basket holds at most the frequent items: no more
+    than (mean basket size / `min_support`) of them however long it is. Its pairs are counted once, before the shuffle where
+    they repeat, and give a rule each way.
     """
-    baskets = lines.select(basket).distinct().count()
-    least = min_support * baskets
-    frequent = (
-        lines.select(basket, item).distinct().groupBy(item).agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= least)
-        .select(item, F.lit(True).alias("_frequent"))
+    bought, baskets, counts = _bought(lines, basket, item, min_support)
+    items = bought.join(counts.select(item), item).groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("_items"))
+    first = items.select(F.posexplode("_items").alias("_at", "a"), "_items")
+    pairs = first.select("a", F.explode(F.expr("slice(_items, _at + 2, size(_items))")).alias("b"))
+    together = pairs.groupBy("a", "b").agg(F.count("*").alias("together")).where(F.col("together") >= min_support * baskets)
+    both = F.explode(F.array(F.struct(F.col("a").alias("antecedent"), F.col("b").alias("consequent")), F.struct(F.col("b").alias("antecedent"), F.col("a").alias("consequent"))))
+    rules = together.select("together", both.alias("r")).select("r.*", "together")
+    return (
+        rules.join(counts.withColumnRenamed(item, "antecedent"), "antecedent")
+        .select(
+            "antecedent",
+            "consequent",
+            (F.col("together") / F.col("_n")).alias("confidence"),
+            (F.col("together") / F.lit(baskets)).alias("support"),
+            "together",
+            F.lit(baskets).cast("long").alias("baskets"),
+        )
+        .where(F.col("confidence") >= min_confidence)
     )
-    # Baskets left without a frequent item still count in the support. FP-growth reads its input
-    # several times, so it is written once.
-    items = materialise(
-        lines.select(basket, item)
-        .join(broadcast_if_small(frequent), item, "left")
+
+
+def itemset_rules(lines: DataFrame, basket: str, item: str, min_support: float = 0.01, min_confidence: float = 0.0) -> DataFrame:
+    """Rules with antecedents of any length, by MLlib's FP-growth; baskets without a frequent item still count in the support."""
+    bought, baskets, counts = _bought(lines, basket, item, min_support)
+    frequent = counts.select(item, F.lit(True).alias("_frequent"))
+    items = stored(
+        bought.join(frequent, item, "left")
         .groupBy(basket)
         .agg(F.collect_set(F.when(F.col("_frequent"), F.col(item))).alias("items"))
         .select("items")
@@ -41,15 +51,12 @@ def basket_rules(
     return model.associationRules.withColumn("baskets", F.lit(baskets).cast("long"))
 
 
-def single_rules(rules: DataFrame) -> DataFrame:
-    """Rules from one item to one item."""
-    return rules.where(F.size("antecedent") == 1).select(
-        F.element_at("antecedent", 1).alias("antecedent"),
-        F.element_at("consequent", 1).alias("consequent"),
-        "confidence",
-        "support",
-        "baskets",
-    )
+def _bought(lines: DataFrame, basket: str, item: str, min_support: float) -> tuple[DataFrame, int, DataFrame]:
+    """What each basket holds, the number of baskets, and the frequent items with their counts `_n`; read once, written once."""
+    bought = stored(lines.select(basket, item).distinct())
+    baskets = bought.select(basket).distinct().count()
+    counts = bought.where(F.col(item).isNotNull()).groupBy(item).agg(F.count("*").alias("_n"))
+    return bought, baskets, stored(counts.where(F.col("_n") >= min_support * baskets))
 
 
 def as_recommendations(rules: DataFrame, kind: str, timestamp: Column) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators.keyed import order_by_key, running
-from shelfline.schemas import FREE_SHIPPING_OVER, SHIPPING, TAX_RATE
+from shelfline.schemas import EMPTY_CART, FREE_SHIPPING_OVER, MISSING_SESSION, NO_CART, SHIPPING, TAX_RATE
 
 ORDER = ("ts", "seq")
 LINE = ("cart_id", "product_id")
 
 
 def fold_cart(actions: DataFrame, mode: str = "append", order: Sequence[str] = ORDER) -> DataFrame:
-    """The lines left in every cart: `cart_id, product_id, quantity, line_cents, lines`.
+    """The lines left in every cart: `cart_id, product_id, quantity, price_cents, line_cents, lines`; the price is the first line's.
 
     `append`: every ADD is a line of its own, UPDATE_QUANTITY changes the first of them.
     `upsert`: an ADD of a product already there only sets its quantity; the old price stays.
@@ -49,6 +49,7 @@ def fold_cart(actions: DataFrame, mode: str = "append", order: Sequence[str] = O
         return folded.select(
             *LINE,
             first.cast("long").alias("quantity"),
+            F.col("_price").alias("price_cents"),
             (first * F.col("_price")).alias("line_cents"),
             F.lit(1).cast("long").alias("lines"),
         )
@@ -56,6 +57,7 @@ def fold_cart(actions: DataFrame, mode: str = "append", order: Sequence[str] = O
     return folded.select(
         *LINE,
         (F.col("_quantity") + change).alias("quantity"),
+        F.col("_price").alias("price_cents"),
         (F.col("_cents") + change * F.col("_price")).alias("line_cents"),
         "lines",
     )
@@ -158,18 +160,20 @@ def estimate(summary: DataFrame) -> DataFrame:
     return price_order(summary, free_over=FREE_SHIPPING_OVER)
 
 
-def checkout(requests: DataFrame, lines: DataFrame, tax: str = TAX_RATE) -> DataFrame:
-    """Checkout requests (`session_id`, `user_id`) priced from their carts; rejects say why.
+def checkout(requests: DataFrame, lines: DataFrame, actions: DataFrame | None = None, tax: str = TAX_RATE) -> DataFrame:
+    """Checkout requests (`session_id`, `user_id`) priced from their carts' `lines`; rejects say why.
 
-    The request's `status` is CONFIRMED or REJECTED.
+    A cart exists once it has had an action, also when it has no line left; `actions` tells which carts do. Without it only carts
+    with lines are known. The request's `status` is CONFIRMED or REJECTED.
     """
     carts = cart_summary(lines).withColumnRenamed("cart_id", "session_id").withColumn("_cart", F.lit(True))
     joined = requests.join(carts, "session_id", "left")
+    if actions is not None:
+        used = actions.select(F.col("cart_id").alias("session_id")).distinct().withColumn("_used", F.lit(True))
+        joined = joined.join(used, "session_id", "left").withColumn("_cart", F.coalesce("_cart", "_used")).drop("_used")
     blank = F.col("session_id").isNull() | (F.trim(F.col("session_id").cast("string")) == "")
     reason = (
-        F.when(blank, "Session ID is missing.")
-        .when(F.col("_cart").isNull(), "Cart not found.")
-        .when(F.col("lines") == 0, "Cart is empty")
+        F.when(blank, MISSING_SESSION).when(F.col("_cart").isNull(), NO_CART).when(F.coalesce("lines", F.lit(0)) == 0, EMPTY_CART)
     )
     priced = price_order(joined.withColumn("reject_reason", reason), tax=tax)
     ok = F.col("reject_reason").isNull()
@@ -182,6 +186,30 @@ def checkout(requests: DataFrame, lines: DataFrame, tax: str = TAX_RATE) -> Data
     )
 
 
+def checkouts(log: DataFrame, mode: str = "upsert", order: Sequence[str] = ORDER) -> DataFrame:
+    """The CHECKOUT actions of an action log, each with the cart as it is then: `cart_id, *order, reject_reason, item_count, total_cents, lines`.
+
+    A checkout that succeeds ends the cart: the next action starts a new one. A rejected one leaves the cart as it is, and an
+    empty cart stays empty, so what a checkout sees are the actions since the checkout before it.
+    """
+    is_checkout = F.col("action") == "CHECKOUT"
+    keyed = order_by_key(log, ["cart_id"], order)
+    cut = keyed.finish(running(keyed, keyed.df, {"_epoch": ("count", F.when(is_checkout, 1))}, strict=True))
+    cut = cut.withColumn("_epoch", F.coalesce("_epoch", F.lit(0))).withColumn("_cart", F.struct("cart_id", "_epoch"))
+    actions = cut.where(~is_checkout).drop("cart_id").withColumnRenamed("_cart", "cart_id")
+    carts = cart_summary(fold_cart(actions, mode, order)).select(F.col("cart_id").alias("_cart"), "item_count", "total_cents", "lines")
+    acted = actions.select(F.col("cart_id").alias("_cart")).distinct().withColumn("_acted", F.lit(True))
+    seen = cut.where(is_checkout).join(carts, "_cart", "left").join(acted, "_cart", "left")
+    before = order_by_key(seen, ["cart_id"], order)
+    epoch = F.col("_epoch")
+    # A cart exists if it has had an action since the last checkout that succeeded.
+    last = running(before, before.df, {"_sold": ("max", F.when(F.col("lines") > 0, epoch))}, strict=True)
+    last = before.finish(running(before, last, {"_used": ("max", F.when(F.col("_acted"), epoch))}))
+    exists = F.coalesce("_used", F.lit(-1)) > F.coalesce("_sold", F.lit(-1))
+    reason = F.when(~exists, NO_CART).when(F.coalesce("lines", F.lit(0)) == 0, EMPTY_CART)
+    return last.select("cart_id", *order, reason.alias("reject_reason"), "item_count", "total_cents", "lines")
+
+
 def order_lines(lines: DataFrame) -> DataFrame:
     """Relational order lines of cart lines: line total from price and quantity, no discount."""
     return lines.select(

@@ -58,16 +58,23 @@ def browse(
     view: DataFrame,
     category: str | None = None,
     text: str | None = None,
-    price: tuple[float, float] = (0, 5000),
+    price: tuple[float | None, float | None] | None = None,
     sort: str = "featured",
 ) -> DataFrame:
-    """The product page: exact category, text, price range, sort order. All matches, ranked by Spark's range sort."""
+    """The product page: exact category, text, price range, sort order. All matches, ranked by Spark's range sort.
+
+    A price bound holds only where it is given, also on one side; products without a price are left out then.
+    """
     if category and category != "All":
         view = view.where(F.col("category") == category)
     if text and text.strip():
         view = view.where(matches(text, tags=True, brand=True))
-    low, high = price
-    return view.where(F.col("price").between(low, high)).orderBy(*_order(sort))
+    low, high = price or (None, None)
+    if low is not None:
+        view = view.where(F.col("price") >= low)
+    if high is not None:
+        view = view.where(F.col("price") <= high)
+    return view.orderBy(*_order(sort))
 
 
 def trending(view: DataFrame, k: int = 8) -> DataFrame:

@@ -10,8 +10,8 @@ input is large, and cuts each hot key into consecutive slices of equal row count
 * what a slice needs from its neighbours comes as *halo* rows (the last `before` rows of the slice
   ahead of it, the first `after` rows of the slice behind it), or as carried totals (`running`).
 
-Keys that are not hot keep one shuffle and one sort. Results do not depend on the slicing.
-The order columns must be unique within a key: rows that tie in all of them stay in one slice.
+Keys that are not hot keep one shuffle and one sort. Results do not depend on the slicing: rows that tie in all order
+columns are ordered by a hash of the row, with and without slices, so only equal rows are interchangeable.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.session import (
     SLICE_CHECK_BYTES,
@@ -30,14 +31,12 @@ from shelfline.session import (
     input_bytes,
     materialise,
     setting,
+    stored,
 )
 
 SLICE = "_slice"
 HALO = "_halo"
-
-# The hot-key and slice tables hold at most one row per `sliceRows` input rows; they are
-# broadcast up to this many rows and joined by shuffle beyond it.
-_BROADCAST_ROWS = 1_000_000
+TIE = "_tie"
 
 
 @dataclass(frozen=True)
@@ -46,9 +45,8 @@ class Keyed:
 
     df: DataFrame
     keys: tuple[str, ...]
-    order: tuple[str, ...]
+    order: tuple[str, ...]  # the last one breaks ties
     sliced: bool = False
-    slices: int = 0  # upper bound on the (hot key, slice) pairs
 
     def window(self, *within: str) -> WindowSpec:
         parts = [*self.keys, *([SLICE] if self.sliced else []), *within]
@@ -56,7 +54,7 @@ class Keyed:
 
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop halo rows and helper columns."""
-        return df.where(~F.col(HALO)).drop(SLICE, HALO) if self.sliced else df
+        return df.where(~F.col(HALO)).drop(SLICE, HALO, TIE) if self.sliced else df.drop(TIE)
 
     def with_df(self, df: DataFrame) -> Keyed:
         return replace(self, df=df)
@@ -70,10 +68,6 @@ def match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> D
     return joined if how in ("left_semi", "left_anti") else joined.drop(*(f"_r_{c}" for c in cols))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= _BROADCAST_ROWS else df
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than `limit` rows (partial counts are combined before the shuffle)."""
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
@@ -90,33 +84,34 @@ def order_by_key(
 
     Unbounded running aggregates go through `running`, whatever `before` is.
     """
-    keys, order = tuple(keys), tuple(order)
+    spark, keys, order = df.sparkSession, tuple(keys), (*order, TIE)
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    df = df.withColumn(TIE, F.xxhash64(*hashable))
     plain = Keyed(df, keys, order)
-    spark = df.sparkSession
     if input_bytes(df) <= setting(spark, SLICE_CHECK_BYTES):
         return plain
 
     size = max(setting(spark, SLICE_ROWS), before, after, 1)
-    hot = materialise(hot_keys(df, keys, size))
+    hot = stored(hot_keys(df, keys, size))
     found, hot_rows = hot.agg(F.count("*"), F.sum("_rows")).first()
     if not found:
         return plain
 
     if keys:
-        names = _small(hot.select(*keys), found)
+        names = hot.select(*keys)
         cold = match(df, names, keys, "left_anti")
         warm = match(df, names, keys, "left_semi")
     else:
         cold, warm = None, df
     parts = math.ceil(hot_rows / size)
-    numbered = _slices(warm, keys, order, parts, found, size, before, after)
+    numbered = _slices(warm, keys, order, parts, size, before, after)
     if cold is not None:
         idle = cold.withColumn(SLICE, F.lit(None).cast("long")).withColumn(HALO, F.lit(False))
         numbered = idle.unionByName(numbered)
-    return Keyed(numbered, keys, order, sliced=True, slices=parts + found)
+    return Keyed(numbered, keys, order, sliced=True)
 
 
-def _slices(df, keys, order, parts, found, size, before, after) -> DataFrame:
+def _slices(df, keys, order, parts, size, before, after) -> DataFrame:
     """Number the hot rows 0, 1, 2 … per key and cut them every `size` rows, with halo copies."""
     ranged = (
         df.repartitionByRange(parts, *keys, *order)
@@ -132,8 +127,7 @@ def _slices(df, keys, order, parts, found, size, before, after) -> DataFrame:
         .withColumn("_ahead", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
-    starts = _small(starts, parts + found)
-    placed = match(ranged, starts, [*keys, "_part"], "inner").select(
+    placed = match(ranged, stored(starts), [*keys, "_part"], "inner").select(
         *df.columns, (F.col("_ahead") + F.col("_id") - F.col("_first")).alias("_pos")
     )
     offset = F.col("_pos") % size
@@ -188,19 +182,14 @@ def running(
         .groupBy(*parts, SLICE)
         .agg(*(_FIRST[fn](args[name]).alias(f"_tot_{name}") for name, (fn, _) in aggs.items()))
     )
-    # A slice may lack some `within` value, so every slice of the key gets a (possibly empty) row.
-    if within:
-        slices = totals.select(*keyed.keys, SLICE).distinct()
-        spine = match(totals.select(*parts).distinct(), slices, keyed.keys, "inner")
-        totals = match(spine, totals, [*parts, SLICE], "left")
     earlier = Window.partitionBy(*parts).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # Every row's (key, value, slice) has a total, and slices without the value would add nothing.
     carried = totals.select(
         *parts,
         SLICE,
         *(_MERGE[fn][0](f"_tot_{name}").over(earlier).alias(f"_in_{name}") for name, (fn, _) in aggs.items()),
     )
-    if not within:
-        carried = _small(carried, keyed.slices)
+    carried = stored(carried)  # so that the join knows its size
     local = base.select(
         "*", *(_FIRST[fn](args[name]).over(spec).alias(f"_here_{name}") for name, (fn, _) in aggs.items())
     )
@@ -214,7 +203,7 @@ def running(
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key: an aggregate, combined on the map side, so a hot key costs nothing extra."""
+    """The last row per key: an aggregate, combined on the map side, so a hot key sends one row per task."""
     rest = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)

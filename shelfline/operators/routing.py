@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import broadcast_if_small
+from shelfline.session import stored
 
 OUTPUT = "output"
 MAIN = "main"
@@ -93,9 +93,9 @@ def category_routes(df: DataFrame, tags: Mapping[str, str], category: str = "cat
 def rule_routes(df: DataFrame, rules: DataFrame, on: str, value: str) -> DataFrame:
     """Route by a rule table (`on`, `at_least`, `below`, `output`; null bounds are open).
 
-    An equality join with a range test. The rules are counted and broadcast while they are few.
+    An equality join with a range test. The rules are stored, so that they are broadcast only if their bytes are few.
     """
     inside = (F.col("at_least").isNull() | (F.col(value) >= F.col("at_least"))) & (
         F.col("below").isNull() | (F.col(value) < F.col("below"))
     )
-    return df.join(broadcast_if_small(rules), on, "inner").where(inside).drop("at_least", "below")
+    return df.join(stored(rules), on, "inner").where(inside).drop("at_least", "below")

@@ -38,11 +38,7 @@ UNION ALL SELECT product_id, 'LOW_STOCK' FROM catalogue WHERE inventory BETWEEN
 )
 def alert_union(spark, folder):
     routed = R.inventory_routes(t.catalogue(spark, folder))
-    sides = [
-        R.slice_of(routed, tag).select("product_id", F.lit(tag).alias("alert_type"))
-        for tag in ("OUT_OF_STOCK", "LOW_STOCK")
-    ]
-    return R.union_all(*sides)
+    return routed.where(F.col(R.OUTPUT).isin("OUT_OF_STOCK", "LOW_STOCK")).select("product_id", F.col(R.OUTPUT).alias("alert_type"))
 
 
 @query(

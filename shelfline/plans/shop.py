@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.operators import baskets as B
@@ -22,10 +23,10 @@ last_update AS (SELECT cart_id, product_id, arg_max(quantity, pos) AS qs FROM li
                 WHERE action = 'UPDATE_QUANTITY' AND pos > first_at GROUP BY 1, 2),
 last_any AS (SELECT cart_id, product_id, arg_max(quantity, pos) AS qs FROM live JOIN firsts USING (cart_id, product_id)
              WHERE pos > first_at GROUP BY 1, 2),
-appended AS (SELECT cart_id, product_id, CAST(q + coalesce(qs, q0) - q0 AS BIGINT) AS quantity,
+appended AS (SELECT cart_id, product_id, CAST(q + coalesce(qs, q0) - q0 AS BIGINT) AS quantity, price AS price_cents,
                     CAST(cents + (coalesce(qs, q0) - q0) * price AS BIGINT) AS line_cents, lines
              FROM firsts LEFT JOIN last_update USING (cart_id, product_id)),
-upserted AS (SELECT cart_id, product_id, CAST(coalesce(qs, q0) AS BIGINT) AS quantity, CAST(coalesce(qs, q0) * price AS BIGINT) AS line_cents,
+upserted AS (SELECT cart_id, product_id, CAST(coalesce(qs, q0) AS BIGINT) AS quantity, price AS price_cents, CAST(coalesce(qs, q0) * price AS BIGINT) AS line_cents,
                     CAST(1 AS BIGINT) AS lines FROM firsts LEFT JOIN last_any USING (cart_id, product_id))"""
 
 
@@ -68,7 +69,7 @@ def cart_totals(spark, folder):
     "WITH " + t.CART_ACTIONS + """,
 adds AS (SELECT *, sum(quantity) OVER (PARTITION BY cart_id, product_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS wanted
          FROM cart_actions WHERE action = 'ADD'),
-capped AS (SELECT *, least(wanted, p_size) AS final, least(wanted - quantity, p_size) AS held FROM adds JOIN part ON p_partkey = product_id)
+capped AS (SELECT *, least(wanted, coalesce(p_size, 0)) AS final, least(wanted - quantity, coalesce(p_size, 0)) AS held FROM adds LEFT JOIN part ON p_partkey = product_id)
 SELECT cart_id, product_id, ts, seq, quantity, CAST(final AS BIGINT) AS final_quantity FROM capped WHERE wanted = quantity OR final > held""",
 )
 def capped_adds(spark, folder):
@@ -98,18 +99,20 @@ def requests(spark, folder):
     "checkout",
     LIVE + ", " + REQUESTS + """,
 carts AS (SELECT cart_id AS session_id, sum(quantity) AS item_count, sum(line_cents) AS cents FROM upserted GROUP BY 1),
-j AS (SELECT r.session_id, r.user_id, c.session_id IS NOT NULL AS ok, item_count, CAST(cents AS BIGINT) AS cents,
-             CAST(cents AS BIGINT) * 8 AS tax_100 FROM requests r LEFT JOIN carts c ON c.session_id = r.session_id)
+used AS (SELECT DISTINCT user_id FROM events),
+j AS (SELECT r.session_id, r.user_id, c.session_id IS NOT NULL AS ok, u.user_id IS NOT NULL AS used, item_count, CAST(cents AS BIGINT) AS cents,
+             CAST(cents AS BIGINT) * 8 AS tax_100
+      FROM requests r LEFT JOIN carts c ON c.session_id = r.session_id LEFT JOIN used u ON u.user_id = r.session_id)
 SELECT session_id, coalesce(user_id, 'guest') AS user_id, CASE WHEN ok THEN 'CONFIRMED' ELSE 'REJECTED' END AS status,
-       CASE WHEN session_id IS NULL THEN 'Session ID is missing.' WHEN NOT ok THEN 'Cart not found.' END AS reject_reason,
+       CASE WHEN session_id IS NULL THEN 'Session ID is missing.' WHEN NOT used THEN 'Cart not found.' WHEN NOT ok THEN 'Cart is empty' END AS reject_reason,
        CAST(CASE WHEN ok THEN item_count END AS BIGINT) AS item_count,
        cents AS subtotal_cents, (tax_100 + 50) // 100 AS tax_cents, CASE WHEN ok THEN 599 END AS shipping_cents,
        cents + (tax_100 + 50) // 100 + 599 AS total_cents
 FROM j""",
 )
 def checkout(spark, folder):
-    lines = C.fold_cart(t.cart_actions(spark, folder), "upsert")
-    out = C.checkout(requests(spark, folder), lines)
+    actions = t.cart_actions(spark, folder)
+    out = C.checkout(requests(spark, folder), C.fold_cart(actions, "upsert"), actions)
     whole = lambda c: (F.col(c) * 100).cast("long")
     return out.select(
         "session_id", "user_id", "status", "reject_reason", "item_count",
@@ -181,13 +184,34 @@ def available_stock(spark, folder):
     return part.select(F.col("p_partkey").alias("product_id"), C.available(F.col("p_size"), F.col("reserved")).alias("available"))
 
 
+@query(
+    "checkouts_over_time",
+    "WITH " + t.CART_ACTIONS + """,
+log AS (SELECT *, row_number() OVER (PARTITION BY cart_id ORDER BY ts, seq) AS n FROM cart_actions),
+-- Every 9th action of a cart is a checkout; carts of the form action log with sessions that end in a checkout.
+marked AS (SELECT *, n % 9 = 0 AS checks, count(CASE WHEN n % 9 = 0 THEN 1 END) OVER (PARTITION BY cart_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM log),
+acts AS (SELECT *, (ts, seq) AS pos, max(CASE WHEN action = 'CLEAR' THEN (ts, seq) END) OVER (PARTITION BY cart_id, e) AS cleared,
+                max(CASE WHEN action = 'REMOVE' THEN (ts, seq) END) OVER (PARTITION BY cart_id, e, product_id) AS removed FROM marked WHERE NOT checks),
+live AS (SELECT * FROM acts WHERE action IN ('ADD', 'UPDATE_QUANTITY') AND (cleared IS NULL OR pos > cleared) AND (removed IS NULL OR pos > removed)),
+firsts AS (SELECT cart_id, e, product_id, min(pos) AS first_at, arg_min(price_cents, pos) AS price, arg_min(quantity, pos) AS q0 FROM live WHERE action = 'ADD' GROUP BY 1, 2, 3),
+lasts AS (SELECT cart_id, e, product_id, arg_max(quantity, pos) AS qs FROM live JOIN firsts USING (cart_id, e, product_id) WHERE pos > first_at GROUP BY 1, 2, 3),
+carts AS (SELECT cart_id, e, sum(coalesce(qs, q0)) AS item_count, sum(coalesce(qs, q0) * price) AS cents FROM firsts LEFT JOIN lasts USING (cart_id, e, product_id) GROUP BY 1, 2)
+SELECT cart_id, ts, seq, CASE WHEN cents IS NULL THEN 'Cart is empty' END AS reject_reason, CAST(item_count AS BIGINT) AS item_count, CAST(cents AS BIGINT) AS total_cents
+FROM marked LEFT JOIN carts USING (cart_id, e) WHERE checks""",
+)
+def checkouts_over_time(spark, folder):
+    nth = F.row_number().over(Window.partitionBy("cart_id").orderBy("ts", "seq"))
+    log = t.cart_actions(spark, folder).withColumn("action", F.when(nth % 9 == 0, "CHECKOUT").otherwise(F.col("action")))
+    return C.checkouts(log).select("cart_id", "ts", "seq", "reject_reason", "item_count", "total_cents")
+
+
 @query(
     "basket_context",
-    "WITH " + t.CART_ACTIONS + """ SELECT cart_id, count(*) AS basket_size, CAST(sum(price_cents) AS BIGINT) AS basket_value_cents
-FROM cart_actions WHERE action = 'ADD' GROUP BY 1""",
+    LIVE + """ SELECT cart_id, count(*) AS basket_size, CAST(sum(price_cents) AS BIGINT) AS basket_value_cents
+FROM upserted GROUP BY 1""",
 )
 def basket_context(spark, folder):
-    return C.basket_context(t.cart_actions(spark, folder).where("action = 'ADD'"))
+    return C.basket_context(C.fold_cart(t.cart_actions(spark, folder), "upsert"))
 
 
 @query(
@@ -201,8 +225,5 @@ FROM p JOIN s ON s.i = a, n WHERE k >= ceil(0.01::DOUBLE * n)""",
 def basket_rules(spark, folder):
     part = t.table(spark, folder, "part").select("p_partkey", "p_brand")
     lines = t.table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
-    rules = B.basket_rules(lines.join(part, lines.l_partkey == part.p_partkey), "l_orderkey", "p_brand", 0.01)
-    return B.single_rules(rules).select(
-        "antecedent", "consequent", F.round("confidence", 9).alias("confidence"),
-        F.round(F.col("support") * F.col("baskets")).cast("long").alias("together"), "baskets",
-    )
+    rules = B.pair_rules(lines.join(part, lines.l_partkey == part.p_partkey), "l_orderkey", "p_brand", 0.01)
+    return rules.select("antecedent", "consequent", F.round("confidence", 9).alias("confidence"), "together", "baskets")

@@ -97,15 +97,15 @@ def connections(spark, folder):
     key = F.col("c_custkey")
     return t.table(spark, folder, "customer").select(
         F.concat(F.lit("conn-"), key.cast("string")).alias("connection_id"),
-        (key % 200).cast("string").alias("user_id"),
-        (key % 60).cast("string").alias("session_id"),
+        key.cast("string").alias("user_id"),
+        key.cast("string").alias("session_id"),
     )
 
 
 @query(
     "event_fanout",
     "WITH " + FANOUT + """,
-c AS (SELECT 'conn-' || c_custkey AS connection_id, CAST(c_custkey % 200 AS VARCHAR) AS user_id, CAST(c_custkey % 60 AS VARCHAR) AS session_id FROM customer)
+c AS (SELECT 'conn-' || c_custkey AS connection_id, CAST(c_custkey AS VARCHAR) AS user_id, CAST(c_custkey AS VARCHAR) AS session_id FROM customer)
 SELECT event_id, 'user' AS target, connection_id FROM fan JOIN c ON c.user_id = to_user WHERE event_type = 'RECOMMENDATION'
 UNION ALL SELECT event_id, 'session', connection_id FROM fan JOIN c ON c.session_id = key WHERE event_type = 'SHOPPING_CART'
 UNION ALL SELECT event_id, 'all', NULL FROM fan WHERE event_type = 'PRODUCT_UPDATE'""",

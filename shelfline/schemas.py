@@ -10,6 +10,11 @@ STALE_AFTER_MS = 60 * 60 * 1000
 SNAPSHOT_EVERY_MS = 5 * 60 * 1000
 SESSION_GAP_MS = 30 * 60 * 1000
 CART_TTL_MS = 2 * 60 * 60 * 1000
+# Fixed values of the data contract: what a rejected checkout says.
+MISSING_SESSION = "Session ID is missing."
+NO_CART = "Cart not found."
+EMPTY_CART = "Cart is empty"
+
 TAX_RATE = "0.08"
 SHIPPING = "5.99"
 FREE_SHIPPING_OVER = 50

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A key with more rows than this is cut into slices of this many rows.
 SLICE_ROWS = "spark.shelfline.sliceRows"
@@ -67,10 +67,31 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """`df` written once and counted; hinted for broadcast up to `max_rows` rows, else left to a shuffle."""
-    kept = materialise(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back.
+
+    Later stages depend on no executor, and Spark knows the table's bytes when it plans a join: it broadcasts it up to
+    `spark.sql.autoBroadcastJoinThreshold` and shuffles it beyond. `discard_stored` deletes these tables.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark)
+    df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder of this application under the shared one."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/shelfline/{spark.sparkContext.applicationId}"
+
+
+def discard_stored(spark: SparkSession) -> None:
+    """Delete what `stored` has written in this application, once no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def input_bytes(df: DataFrame) -> int:

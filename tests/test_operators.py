@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfline.operators import baskets, carts, catalog, changes, chat, metrics, routing, running, timers, views
-from shelfline.operators.keyed import last_n, latest
+from shelfline.operators.keyed import last_n, latest, order_by_key
+from shelfline.session import shared_dir
 
 PRODUCTS = "product_id STRING, ts LONG, seq LONG, inventory INT, price DOUBLE, name STRING"
 HOUR = 3_600_000
@@ -110,13 +111,61 @@ def cart_log(spark):
 
 
 def test_cart_modes(spark):
-    got = lambda mode: rows(carts.fold_cart(cart_log(spark), mode))  # noqa: E731  columns: cart, cents, lines, product, quantity
-    assert got("append") == [("c", 590, 2, "p", 6), ("d", 100, 1, "r", 4)]
-    assert got("upsert") == [("c", 500, 1, "p", 5), ("d", 100, 1, "r", 4)]
+    got = lambda mode: rows(carts.fold_cart(cart_log(spark), mode))  # noqa: E731  columns: cart, cents, lines, price, product, quantity
+    assert got("append") == [("c", 590, 2, 100, "p", 6), ("d", 100, 1, 25, "r", 4)]
+    assert got("upsert") == [("c", 500, 1, 100, "p", 5), ("d", 100, 1, 25, "r", 4)]
     with pytest.raises(ValueError):
         carts.fold_cart(cart_log(spark), "merge")
 
 
+def test_checkout_ends_a_cart(spark):
+    log = [
+        ("c", 0, 0, "CHECKOUT", None, None, None), ("c", 1, 1, "ADD", "p", 2, 100), ("c", 2, 2, "CHECKOUT", None, None, None),
+        ("c", 3, 3, "CHECKOUT", None, None, None), ("c", 4, 4, "ADD", "p", 1, 30), ("c", 5, 5, "REMOVE", "p", None, None),
+        ("c", 6, 6, "CHECKOUT", None, None, None), ("c", 7, 7, "CHECKOUT", None, None, None), ("c", 8, 8, "ADD", "q", 1, 7),
+        ("c", 9, 9, "CHECKOUT", None, None, None),
+    ]
+    out = carts.checkouts(frame(spark, log, cart_log(spark).schema)).orderBy("ts").collect()
+    assert [(r.ts, r.reject_reason, r.total_cents) for r in out] == [
+        (0, "Cart not found.", None), (2, None, 200), (3, "Cart not found.", None), (6, "Cart is empty", None), (7, "Cart is empty", None), (9, None, 7)]
+
+
+def test_browse_without_a_bound_keeps_all_prices(spark):
+    view = frame(spark, [("a", 100.0), ("b", 7000.0), ("c", None)], "product_id STRING, price DOUBLE").withColumn("category", F.lit("x"))
+    ids = lambda df: [r.product_id for r in df.collect()]
+    assert ids(catalog.browse(view)) == ["a", "b", "c"]
+    assert ids(catalog.browse(view, price=(None, 500))) == ["a"] and ids(catalog.browse(view, price=(500, None))) == ["b"]
+
+
+def test_tied_rows_are_ordered_alike_with_and_without_slices(spark, both_ways):
+    tied = frame(spark, [("k", i // 40, i) for i in range(200)], "product_id STRING, ts LONG, v LONG")
+
+    def firsts():
+        keyed = order_by_key(tied, ["product_id"], ["ts"], before=1)
+        return keyed.finish(keyed.df.withColumn("ahead", F.lag("v").over(keyed.window())))
+
+    plain, cut = both_ways(firsts)
+    assert plain == cut
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://somewhere"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
 def test_checkout_arithmetic_and_rejects(spark):
     lines = carts.fold_cart(cart_log(spark), "upsert")
     requests = frame(spark, [("c", None), ("x", "u"), (" ", "u"), (None, "u")], "session_id STRING, user_id STRING")
@@ -124,6 +173,9 @@ def test_checkout_arithmetic_and_rejects(spark):
     good = next(r for r in out if r.status == "CONFIRMED")
     assert (str(good.subtotal), str(good.tax), str(good.shipping), str(good.total_amount), good.user_id) == ("5.00", "0.40", "5.99", "11.39", "guest")
     assert sorted(r.reject_reason for r in out if r.reject_reason) == ["Cart not found.", "Session ID is missing.", "Session ID is missing."]
+    emptied = frame(spark, [("c", 1, 1, "ADD", "p", 1, 5), ("c", 2, 2, "CLEAR", None, None, None)], cart_log(spark).schema)
+    out = carts.checkout(requests, carts.fold_cart(emptied, "upsert"), emptied).collect()
+    assert sorted(r.reject_reason for r in out) == ["Cart is empty", "Cart not found.", "Session ID is missing.", "Session ID is missing."]
     rich = frame(spark, [("c", 5001)], "cart_id STRING, total_cents LONG")
     assert str(carts.estimate(rich).first().shipping) == "0.00"
 
@@ -195,7 +247,7 @@ def test_catalogue_reads(spark):
     assert ids(catalog.list_products(view, search="lamp", include_tags=True)) == [1, 3]
     assert ids(catalog.list_products(view, category="home", limit=1)) == [1]
     assert sorted(ids(catalog.search_products(view, "lamp"))) == [1, 3]
-    assert ids(catalog.browse(view, text="lamp", sort="price-high")) == [2, 1]
+    assert ids(catalog.browse(view, text="lamp", sort="price-high")) == [3, 2, 1]
     assert [ids(catalog.browse(view, price=(0, 9000), sort=s)) for s in ("price-low", "rating", "newest", "popular", "featured")] == [
         [1, 2, 3], [1, 3, 2], [2, 3, 1], [2, 1, 3], [1, 2, 3]]
     assert (ids(catalog.trending(view, 1)), ids(catalog.featured(view)), ids(catalog.featured_by_score(view, 2))) == ([2], [1, 3], [2, 1])
@@ -221,7 +273,7 @@ def test_balances_and_fraud(spark):
 
 def test_basket_rules(spark):
     lines = [(b, i) for b, items in enumerate(["ab", "abc", "a", "bc", "ab"]) for i in items]
-    out = baskets.single_rules(baskets.basket_rules(frame(spark, lines, "basket INT, item STRING"), "basket", "item", 0.4))
+    out = baskets.pair_rules(frame(spark, lines, "basket INT, item STRING"), "basket", "item", 0.4)
     got = {(r.antecedent, r.consequent): round(r.confidence, 3) for r in out.collect()}
     assert got == {("a", "b"): 0.75, ("b", "a"): 0.75, ("b", "c"): 0.5, ("c", "b"): 1.0}
 

@@ -93,7 +93,7 @@ def test_ledger_with_timers_equals_batch(spark, tmp_path, files):
     folder = write_files(spark, rows, LEDGER, tmp_path / "in", files)
     write_files(spark, tail[:1], LEDGER, tmp_path / "in", 1)
     write_files(spark, tail[1:], LEDGER, tmp_path / "in", 1)
-    stream = st.with_event_time(read_stream(spark, folder, LEDGER))
+    stream = st.with_event_time(read_stream(spark, folder, LEDGER), "0 seconds")
     got = run(spark, st.stream_ledger(stream), tmp_path).where("product_id <> 'z'")
     batch = L.ledger(spark.createDataFrame(rows, LEDGER))
     assert found(got.where("kind <> 'STALE'"), *COLS) == found(batch, *COLS)
@@ -108,7 +108,7 @@ def test_bootstrap_is_initial_state(spark, tmp_path):
     catalogue = spark.createDataFrame([("a", "A", 9, 2.0)], "productId STRING, name STRING, inventory INT, price DOUBLE")
     rows = [("a", 10, 0, "ORDER", "o", 4, None, None, None), ("b", 11, 1, "ORDER", "o", 1, None, None, None)]
     folder = write_files(spark, rows, LEDGER, tmp_path / "in", 1)
-    stream = st.with_event_time(read_stream(spark, folder, LEDGER))
+    stream = st.with_event_time(read_stream(spark, folder, LEDGER), "0 seconds")
     got = run(spark, st.stream_ledger(stream, initial=initial_state(catalogue)), tmp_path)
     assert found(got, "product_id", "previous_inventory", "current_inventory") == [("a", 9, 5)]
 
@@ -169,7 +169,7 @@ def test_snapshots_equal_batch(spark, tmp_path):
     folder = write_files(spark, rows, schema, tmp_path / "in", 1)
     for i in range(2):
         write_files(spark, [("z", end, 9 + i, 0)], schema, tmp_path / "in", 1)
-    got = run(spark, st.stream_snapshots(st.with_event_time(read_stream(spark, folder, schema))), tmp_path)
+    got = run(spark, st.stream_snapshots(st.with_event_time(read_stream(spark, folder, schema), "0 seconds")), tmp_path)
     batch = timers.snapshots(spark.createDataFrame(rows, schema), end)
     cols = ("product_id", "snapshot_ts", "inventory")
     # A timer fires with the first batch after it is due, and re-arms from there: ticks already
@@ -191,7 +191,7 @@ def test_sessions_equal_batch(spark, tmp_path):
     folder = write_files(spark, rows, schema, tmp_path / "in", 3)
     for row in tail:
         write_files(spark, [row], schema, tmp_path / "in", 1)
-    got = run(spark, st.stream_sessions(st.with_event_time(read_stream(spark, folder, schema))), tmp_path)
+    got = run(spark, st.stream_sessions(st.with_event_time(read_stream(spark, folder, schema), "0 seconds")), tmp_path)
     cols = ("user_id", "session_start", "timeout_ts", "item_count", "duration_ms")
     batch = timers.session_timeouts(spark.createDataFrame(rows, schema))
     assert found(got.where("user_id <> 'z'"), *cols) == found(batch, *cols)
@@ -221,7 +221,7 @@ def test_orphans_wait_for_their_product(spark, tmp_path):
     folder = tmp_path / "in"
     for row in rows:
         write_files(spark, [row], LEDGER, folder, 1)
-    got = run(spark, st.stream_orphans(st.with_event_time(read_stream(spark, str(folder), LEDGER))), tmp_path)
+    got = run(spark, st.stream_orphans(st.with_event_time(read_stream(spark, str(folder), LEDGER), "0 seconds")), tmp_path)
     got = got.where("product_id <> 'z'")
     assert found(got, "product_id", "kind", "order_id", "expired") == sorted(
         [("a", "PRODUCT", None, False), ("a", "ORDER", "o1", False), ("a", "ORDER", "o3", False), ("b", "ORDER", "o2", True)],
