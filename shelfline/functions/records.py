@@ -78,26 +78,37 @@ _PRODUCT_DOUBLES = ("price", "rating")
 def parse_products(df: DataFrame) -> Parsed:
     """Text to products: an object is one, an array many, blank text none.
 
-    Text that is neither, malformed JSON, unknown fields and unreadable numbers are rejected; null
-    array elements are skipped.
+    Text that is neither, malformed JSON, unknown fields and values of a wrong type are rejected: an object or array in a text or
+    number field, tags that are no list of plain values, an array element that is no object. Numbers and texts stand for each
+    other where they can be read; null array elements are skipped. One wrong record rejects its whole text.
     """
     names = field_names(S.PRODUCT)
     body = trimmed(F.col(VALUE))
     is_array, is_object = body.startswith("["), body.startswith("{")
-    texts = F.when(is_array, F.from_json(body, "array<string>")).when(is_object, F.array(body))
+    whole = F.try_parse_json(body)
+    records = F.when(is_array, F.try_variant_get(whole, "$", "array<variant>")).when(is_object & whole.isNotNull(), F.array(whole))
     elements = F.transform(
-        F.filter(texts, lambda t: t.isNotNull()),
-        lambda t: F.struct(F.from_json(t, "map<string,string>").alias("m")),
+        F.filter(records, lambda v: ~F.is_variant_null(v)),
+        lambda v: F.struct(F.try_variant_get(v, "$", "map<string,variant>").alias("v")),
     )
 
+    def nested(v: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
     def unreadable(e: Column) -> Column:
-        m = e["m"]
+        m = e["v"]
+        text = lambda c: F.try_variant_get(m[c], "$", "string")
         wrong = m.isNull() | (F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, names)))) > 0)
+        for c in names:
+            if c != "tags":
+                wrong = wrong | nested(m[c])
         for c in _PRODUCT_INTS:
-            wrong = wrong | (m[c].isNotNull() & to_int(m[c]).isNull())
+            wrong = wrong | (text(c).isNotNull() & to_int(text(c)).isNull())
         for c in _PRODUCT_DOUBLES:
-            wrong = wrong | (m[c].isNotNull() & m[c].try_cast("double").isNull())
-        return wrong
+            wrong = wrong | (text(c).isNotNull() & text(c).try_cast("double").isNull())
+        tags = F.try_variant_get(m["tags"], "$", "array<variant>")
+        given = m["tags"].isNotNull() & ~F.is_variant_null(m["tags"])
+        return wrong | F.coalesce(given & (tags.isNull() | F.exists(tags, nested)), F.lit(False))
 
     reason = (
         F.when(~is_array & ~is_object, "not JSON")
@@ -107,18 +118,17 @@ def parse_products(df: DataFrame) -> Parsed:
     read = parse_once(df.where((body != "") & body.isNotNull()), "_elements", elements)
     read = read.withColumn("reject_reason", reason)
     # A rejected text gives one row without a product.
-    kept = F.when(F.col("reject_reason").isNull(), F.col("_elements.m"))
-    none = F.array(F.lit(None).cast("map<string,string>"))
+    kept = F.when(F.col("reject_reason").isNull(), F.col("_elements.v"))
+    none = F.array(F.lit(None).cast("map<string,variant>"))
     tagged = read.withColumn("_m", F.explode(F.coalesce(kept, none))).drop("_elements")
 
     def typed(name: str) -> Column:
-        c = F.col("_m")[name]
+        v = F.col("_m")[name]
+        c = F.try_variant_get(v, "$", "array<string>" if name == "tags" else "string")
         if name in _PRODUCT_INTS:
             c = F.coalesce(to_int(c), F.lit(0))
         elif name in _PRODUCT_DOUBLES:
             c = F.coalesce(c.try_cast("double"), F.lit(0.0))
-        elif name == "tags":
-            c = F.from_json(c, "array<string>")
         return F.when(F.col("reject_reason").isNull(), c).alias(name)
 
     tagged = tagged.select(*df.columns, *(typed(n) for n in names), "reject_reason")

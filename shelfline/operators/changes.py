@@ -169,3 +169,10 @@ def single_events(products: DataFrame, order: Sequence[str] = ORDER, low_upto: i
     kept = [KEY, *order, "name", F.col("inventory").alias("current_inventory")]
     exploded = df.select(*kept, F.explode(F.array(*candidates)).alias("e")).where(F.col("e").isNotNull())
     return exploded.select(KEY, *order, "name", "current_inventory", "e.*")
+
+
+def once(rows: DataFrame, ids: list[str], order: list[str]) -> DataFrame:
+    """Each record once however often it was delivered: of the rows with equal `ids` the last by `order`, and their number `deliveries`."""
+    rest = [c for c in rows.columns if c not in ids]
+    found = rows.groupBy(*ids).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"), F.count("*").alias("deliveries"))
+    return found.select(*ids, "_row.*", "deliveries")

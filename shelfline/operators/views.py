@@ -62,6 +62,12 @@ def lookup(rows: DataFrame, view: DataFrame, key: str = KEY) -> tuple[DataFrame,
     return rows.join(view, key, "inner"), rows.join(view.select(key), key, "left_anti")
 
 
+def looked_up(rows: DataFrame, view: DataFrame, key: str = KEY) -> DataFrame:
+    """All rows with their view row's columns and `found`: one join, both inputs read once."""
+    joined = rows.join(view.withColumn("found", F.lit(True)), key, "left")
+    return joined.withColumn("found", F.coalesce("found", F.lit(False)))
+
+
 def recommended_products(recommendations: DataFrame, view: DataFrame, first: int = 4) -> DataFrame:
     """The first `first` recommended ids as products, in their order; ids not in the view drop out."""
     kept = [c for c in recommendations.columns if c != "recommended_products"]

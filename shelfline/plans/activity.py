@@ -99,10 +99,18 @@ def kpis(spark, folder):
     return M.kpis(t.events(spark, folder), cents(F.col("value")))
 
 
-@query("approximate_users")
+@query(
+    "approximate_users",
+    "WITH " + t.EVENTS + " SELECT DISTINCT event_type, true AS within_5_percent FROM tracked",
+)
 def approximate_users(spark, folder):
-    """Sketch counts differ from exact ones by design, so there is no SQL form."""
-    return M.approximate_users(t.events(spark, folder), ["event_type"])
+    """Whether the sketch's count is within 5 % of the exact one, per event type."""
+    events = t.events(spark, folder)
+    sketch = M.approximate_users(events, ["event_type"], 0.01)
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
+    name = next(c for c in sketch.columns if c != "event_type")
+    near = F.abs(F.col(name) - F.col("exact")) <= F.greatest(F.col("exact") * 0.05, F.lit(1.0))
+    return sketch.join(exact, "event_type").select("event_type", near.alias("within_5_percent"))
 
 
 @query(

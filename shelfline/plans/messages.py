@@ -28,7 +28,7 @@ def product_texts(spark, folder):
     second = F.to_json(
         F.struct(F.concat(F.lit("Q"), key.cast("string")).alias("productId"), F.col("p_size").cast("string").alias("inventory"))
     )
-    case = key % 7
+    case = key % 11
     value = (
         F.when(case == 0, F.concat(F.lit("["), text, F.lit(",null,"), second, F.lit("]")))
         .when(case == 1, F.concat(F.lit("["), text, F.lit(",{\"productId\":\"x\",\"extra\":1}]")))
@@ -36,6 +36,10 @@ def product_texts(spark, folder):
         .when(case == 3, F.col("p_name"))
         .when(case == 4, F.regexp_replace(text, '"inventory":', '"stock":'))
         .when(case == 5, F.concat(F.lit(" "), text, F.lit("\n")))
+        .when(case == 7, F.regexp_replace(text, r'"tags":\[.*\]', '"tags":"x"'))
+        .when(case == 8, F.regexp_replace(text, '"productId":"P[0-9]+"', '"productId":{"a":1}'))
+        .when(case == 9, F.to_json(F.array(text)))
+        .when(case == 10, F.regexp_replace(text, '"tags":', '"tags":[[1]],"tags2":'))
         .otherwise(text)
     )
     return t.table(spark, folder, "part").select(value.alias("value"))
@@ -44,8 +48,8 @@ def product_texts(spark, folder):
 @query(
     "product_parser",
     """SELECT 'P' || p_partkey AS product_id, p_name AS name, p_retailprice AS price, p_size AS inventory, p_brand AS tag
-FROM part WHERE p_partkey % 7 IN (0, 5, 6)
-UNION ALL SELECT 'Q' || p_partkey, NULL, 0.0::DOUBLE, p_size, NULL FROM part WHERE p_partkey % 7 = 0""",
+FROM part WHERE p_partkey % 11 IN (0, 5, 6)
+UNION ALL SELECT 'Q' || p_partkey, NULL, 0.0::DOUBLE, p_size, NULL FROM part WHERE p_partkey % 11 = 0""",
 )
 def product_parser(spark, folder):
     valid = R.parse_products(product_texts(spark, folder)).valid
@@ -56,8 +60,8 @@ def product_parser(spark, folder):
 
 @query(
     "product_dead_letters",
-    """SELECT CASE p_partkey % 7 WHEN 3 THEN 'not JSON' ELSE 'unknown field or unreadable value' END AS reject_reason, count(*) AS n
-FROM part WHERE p_partkey % 7 IN (1, 3, 4) GROUP BY 1""",
+    """SELECT CASE p_partkey % 11 WHEN 3 THEN 'not JSON' ELSE 'unknown field or unreadable value' END AS reject_reason, count(*) AS n
+FROM part WHERE p_partkey % 11 NOT IN (0, 2, 5, 6) GROUP BY 1""",
 )
 def product_dead_letters(spark, folder):
     dead = R.parse_products(product_texts(spark, folder)).dead
@@ -338,17 +342,76 @@ def geo_features(spark, folder):
 @query(
     "catalogue_load",
     """SELECT 'P' || p_partkey AS product_id, 'products' AS table_name, p_name AS name, CAST(NULL AS INT) AS on_hand, CAST(NULL AS INT) AS available,
-       CAST(NULL AS INT) AS reorder_point FROM part WHERE p_partkey % 7 IN (0, 5, 6)
-UNION ALL SELECT 'P' || p_partkey, 'inventory', NULL, p_size, p_size, 10 FROM part WHERE p_partkey % 7 IN (0, 5, 6)
-UNION ALL SELECT 'Q' || p_partkey, 'products', NULL, NULL, NULL, NULL FROM part WHERE p_partkey % 7 = 0
-UNION ALL SELECT 'Q' || p_partkey, 'inventory', NULL, p_size, p_size, 10 FROM part WHERE p_partkey % 7 = 0""",
+       CAST(NULL AS INT) AS reorder_point FROM part WHERE p_partkey % 11 IN (0, 5, 6)
+UNION ALL SELECT 'P' || p_partkey, 'inventory', NULL, p_size, p_size, 10 FROM part WHERE p_partkey % 11 IN (0, 5, 6)
+UNION ALL SELECT 'Q' || p_partkey, 'products', NULL, NULL, NULL, NULL FROM part WHERE p_partkey % 11 = 0
+UNION ALL SELECT 'Q' || p_partkey, 'inventory', NULL, p_size, p_size, 10 FROM part WHERE p_partkey % 11 = 0""",
 )
 def catalogue_load(spark, folder):
-    from shelfline.sinks.relational import catalogue_rows
+    from shelfline.sinks.relational import catalogue_load_rows
 
-    products, inventory = catalogue_rows(R.parse_products(product_texts(spark, folder)).valid)
-    left = products.select("product_id", F.lit("products").alias("table_name"), "name")
-    right = inventory.select(
-        "product_id", F.lit("inventory").alias("table_name"), "on_hand", "available", "reorder_point"
+    rows = catalogue_load_rows(R.parse_products(product_texts(spark, folder)).valid)
+    return rows.select("product_id", "table_name", "name", "on_hand", "available", "reorder_point")
+
+
+@query(
+    "dispatched_envelopes",
+    """SELECT CASE WHEN event_id % 50 = 0 THEN 'unknown event type' WHEN event_id % 51 = 0 THEN 'no event type' END AS reject_reason,
+       CASE WHEN event_id % 50 = 0 THEN 'OTHER' WHEN event_id % 51 = 0 THEN NULL WHEN event_type = 'purchase' THEN 'SHOPPING_CART' ELSE 'ECOMMERCE_EVENT' END AS event_type,
+       count(*) AS n FROM events GROUP BY ALL""",
+)
+def dispatched_envelopes(spark, folder):
+    kind = (
+        F.when(F.col("event_id") % 50 == 0, "OTHER").when(F.col("event_id") % 51 == 0, F.lit(None).cast("string"))
+        .when(F.col("event_type") == "purchase", "SHOPPING_CART").otherwise("ECOMMERCE_EVENT")
+    )
+    texts = t.table(spark, folder, "events").select(
+        F.to_json(F.struct(kind.alias("eventType"), F.struct("event_id", "value").alias("payload"))).alias("value")
+    )
+    return R.by_envelope_type(texts).groupBy("reject_reason", F.col("eventType").alias("event_type")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "enriched_tracking",
+    """SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 3 = 0 THEN 'session-' || user_id ELSE 's' || event_id END AS session_id,
+       CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_id % 2 = 0 THEN 0 ELSE epoch_us(ts) // 1000 END AS ts,
+       'web' AS channel, CASE WHEN event_id % 5 = 0 THEN 'own' ELSE 'default' END AS campaign FROM events""",
+)
+def enriched_tracking(spark, folder):
+    key, user = F.col("event_id"), F.col("user_id").cast("string")
+    rows = t.table(spark, folder, "events").select(
+        key.cast("string").alias("eventId"),
+        F.when(key % 3 != 0, F.concat(F.lit("s"), key.cast("string"))).alias("sessionId"),
+        F.when(key % 4 != 0, user).alias("userId"),
+        F.when(key % 2 != 0, t.millis("ts")).alias("timestamp"),
+        "event_type",
+        F.when(key % 5 == 0, F.create_map(F.lit("campaign"), F.lit("own"))).alias("metadata"),
+        user.alias("known_user"),
+    ).withColumnRenamed("event_type", "eventType").withColumn("productId", F.lit(None).cast("string"))
+    out = R.enrich_tracked(
+        rows, F.concat(F.lit("session-"), F.col("known_user")), F.col("known_user"), F.lit(0).cast("long"),
+        {"channel": F.lit("web"), "campaign": F.lit("default")},
+    )
+    return out.select(
+        F.col("eventId").alias("event_id"), F.col("sessionId").alias("session_id"), F.col("userId").alias("user_id"),
+        F.col("timestamp").alias("ts"), F.col("metadata")["channel"].alias("channel"), F.col("metadata")["campaign"].alias("campaign"),
+    )
+
+
+@query(
+    "deduplicated_orders",
+    """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS line_id, CAST(l_partkey AS VARCHAR) AS product_id,
+       CAST(max(CAST(l_quantity AS INT)) AS INT) AS quantity, CAST(count(*) AS BIGINT) + count(CASE WHEN l_linenumber % 2 = 0 THEN 1 END) AS deliveries
+FROM lineitem GROUP BY ALL""",
+)
+def deduplicated_orders(spark, folder):
+    """Order lines that arrive directly, and every second one by change capture too; each is deducted once."""
+    from shelfline.operators.changes import once
+
+    lines = t.table(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_id"),
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"), "l_linenumber",
     )
-    return left.unionByName(right, allowMissingColumns=True)
+    copies = F.when(F.col("l_linenumber") % 2 == 0, F.array(F.lit("direct"), F.lit("cdc"))).otherwise(F.array(F.lit("direct")))
+    delivered = lines.withColumn("path", F.explode(copies)).drop("l_linenumber")
+    return once(delivered, ["line_id", "product_id"], ["quantity", "path"]).drop("path")

@@ -68,17 +68,21 @@ def field_upsert(spark, folder):
 
 @query(
     "cart_lookup",
-    "WITH " + t.EVENTS + """
+    "WITH " + t.EVENTS + """,
+asked AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 1000000000 + product_id ELSE product_id END AS product_id FROM tracked)
 SELECT event_id, product_id, p_partkey IS NOT NULL AS found, p_name AS name, p_retailprice AS price
-FROM tracked LEFT JOIN part ON p_partkey = product_id AND p_size > 25""",
+FROM asked LEFT JOIN part ON p_partkey = product_id""",
 )
 def cart_lookup(spark, folder):
-    view = t.table(spark, folder, "part").where("p_size > 25").select(
+    """Products of events; every fourth asks for one that does not exist."""
+    view = t.table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price")
     )
-    found, missing = V.lookup(t.events(spark, folder).select("event_id", "product_id"), view)
-    hit = found.withColumn("found", F.lit(True))
-    return hit.unionByName(missing.withColumn("found", F.lit(False)), allowMissingColumns=True)
+    product = F.col("product_id")
+    asked = t.events(spark, folder).select(
+        "event_id", F.when(F.col("event_id") % 4 == 0, product + 1_000_000_000).otherwise(product).alias("product_id")
+    )
+    return V.looked_up(asked, view)
 
 
 @query(

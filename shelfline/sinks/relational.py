@@ -28,6 +28,22 @@ def catalogue_rows(products: DataFrame) -> tuple[DataFrame, DataFrame]:
     return head, stock
 
 
+def catalogue_load_rows(products: DataFrame) -> DataFrame:
+    """Parsed products as rows for both tables at once, tagged with `table_name`; the texts are parsed once."""
+    reserved = F.lit(RESERVED)
+    stock = {"on_hand": F.col("inventory"), "reserved": reserved, "reorder_point": F.lit(REORDER_POINT), "reorder_quantity": F.lit(REORDER_QUANTITY), "available": available(F.col("inventory"), reserved)}
+    head = {
+        "name": F.col("name"), "description": F.col("description"), "price": F.col("price").cast("decimal(10,2)"), "category": F.col("category"),
+        "brand": F.col("brand"), "image_url": F.col("imageUrl"), "tags": F.col("tags"), "rating": F.col("rating"), "review_count": F.col("reviewCount"),
+    }
+    tagged = products.withColumn("table_name", F.explode(F.array(F.lit("products"), F.lit("inventory"))))
+
+    def only(table: str, columns: dict) -> list:
+        return [F.when(F.col("table_name") == table, c).alias(name) for name, c in columns.items()]
+
+    return tagged.select(F.col("productId").alias("product_id"), "table_name", *only("products", head), *only("inventory", stock))
+
+
 def stamp_update(df: DataFrame) -> DataFrame:
     """Set the modification time in whichever column the table has for it."""
     for col in ("updated_at", "last_updated"):
@@ -64,12 +80,16 @@ def order_tables(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFr
     return head, lines
 
 
-def order_sink(head: dict[str, str], lines: dict[str, str]):
-    """A `foreachBatch` function for (orders, items) that appends to the two tables over JDBC."""
+def order_sink(head: dict[str, str], lines: dict[str, str], items_of):
+    """A `foreachBatch` function over orders that writes the two tables over JDBC; `items_of(orders)` gives a batch's order lines.
+
+    A retried batch writes the same rows again: they go to tables named after the batch, which replace themselves, and the
+    database merges a batch's tables by order id. Lines are written first, so a head never stands without them.
+    """
 
-    def write(orders: DataFrame, items: DataFrame) -> None:
-        order_rows, item_rows = order_tables(orders, items)
-        write_jdbc(order_rows, **head)
-        write_jdbc(item_rows, **lines)
+    def write(orders: DataFrame, batch_id: int) -> None:
+        order_rows, item_rows = order_tables(orders, items_of(orders))
+        write_jdbc(stamp_update(item_rows), "overwrite", **{**lines, "dbtable": f"{lines['dbtable']}_{batch_id}"})
+        write_jdbc(stamp_update(order_rows), "overwrite", **{**head, "dbtable": f"{head['dbtable']}_{batch_id}"})
 
     return write

@@ -12,7 +12,7 @@ MAX_ROWS = 1_000_000
 
 
 def options(config: JobConfig, topic: str, starting: str = "latest", max_rows: int = MAX_ROWS) -> dict[str, str]:
-    """Reader options. `starting` is `latest`, `earliest`, or offsets / a time as JSON."""
+    """Reader options. `starting` is `latest`, `earliest`, a time in ms as digits, or offsets per topic and partition as JSON."""
     out = {
         "kafka.bootstrap.servers": config.bootstrap_servers,
         "kafka.metadata.max.age.ms": str(config.partition_discovery_ms),
@@ -21,7 +21,7 @@ def options(config: JobConfig, topic: str, starting: str = "latest", max_rows: i
         "maxOffsetsPerTrigger": str(max_rows),
         **config.security(),
     }
-    key = "startingOffsetsByTimestamp" if starting.startswith('{"time"') else "startingOffsets"
+    key = "startingTimestamp" if starting.isdigit() else "startingOffsets"
     return {**out, key: starting}
 
 
