@@ -32,7 +32,11 @@ def test_products_of_objects_and_arrays(spark):
         ("nope", "not JSON"),
         (json.dumps([product(), product(extra=1)]), "unknown field or unreadable value"),
         (json.dumps(product(inventory="many")), "unknown field or unreadable value"),
-        ('{"productId": ', "unknown field or unreadable value"),
+        ('{"productId": ', "malformed JSON"),
+        ('{"productId": "a", "tags": "x"}', "unknown field or unreadable value"),
+        ('{"productId": "a", "tags": [["x"]]}', "unknown field or unreadable value"),
+        ('{"productId": {"id": 1}}', "unknown field or unreadable value"),
+        (json.dumps([json.dumps({"productId": "a"})]), "unknown field or unreadable value"),
         ('[{"productId": "a"}', "malformed JSON"),
     ],
 )
