@@ -187,6 +187,18 @@ def top_k(vectors: DataFrame, is_query, k: int = K, block_rows: int = BLOCK_ROWS
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-@query("op4_topk")
+_SQL = """
+WITH v AS (
+  SELECT vec_id, min(embedding) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY 1),
+q AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM v),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
+@query("op4_topk", _SQL)
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -143,13 +143,53 @@ def judge(measured: DataFrame, labels: DataFrame, stratum: str = "lang", rate: f
     """
     rows = measured.withColumn("stratum", F.coalesce(F.col(stratum), F.lit("(none)")))
     proven = stored(cutoffs(rows, labels, rate, error))  # stored, so that its size is known when the join is planned
+    values = {rule: measures()[rule] for rule in RULES}
     rules = [F.when(F.col("base.base_failed"), F.lit("base"))]
-    rules += [F.when(value > F.try_element_at("cutoffs", F.lit(rule)), F.lit(rule)) for rule, value in measures().items()]
+    rules += [F.when(value > F.try_element_at("cutoffs", F.lit(rule)), F.lit(rule)) for rule, value in values.items()]
     judged = rows.join(proven, "stratum", "left").withColumn("rejected_by", F.array_compact(F.array(*rules)))
     return judged.withColumn("kept", F.size("rejected_by") == 0).drop("stratum", "cutoffs")
 
 
-@query("op2_quality")
+def _sql() -> str:
+    """The query in SQL: windows and lines are unnested, the binomial terms are written with log-gamma."""
+    tests = ", ".join(f"('{rule}', {cutoff})" for rule, cuts in RULES.items() for cutoff in cuts)
+    rate = RATE / len(RULES)
+    return rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '(none)') AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(words) - 3, 1))) AS r(i)),
+twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM twice, unnest(range(i, i + 5)) AS r(j) GROUP BY 1),
+b AS (
+  SELECT w.doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
+m AS (
+  SELECT doc_id, stratum, base_failed, unnest(['symbols_per_char', 'mean_word_length', 'repeated_line_share', 'repeated_word_share']) AS rule,
+         unnest([CASE WHEN word_chars > 0 THEN n_symbols::DOUBLE / word_chars ELSE 0 END, CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END,
+                 CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END, CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END]) AS value FROM f),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING min(quality) = 1),
+h AS (SELECT m.* FROM m JOIN good USING (doc_id) WHERE NOT base_failed),
+sizes AS (SELECT stratum, count(DISTINCT doc_id) AS n FROM h GROUP BY 1),
+terms AS (
+  SELECT stratum, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({rate}) + (n - k) * ln(1 - {rate}))) OVER (PARTITION BY stratum ORDER BY k) AS cdf
+  FROM sizes, unnest(range(0, CAST(ceil(n * {rate}) AS BIGINT) + 1)) AS r(k)),
+allowed AS (SELECT stratum, max(k) AS k FROM terms WHERE cdf <= {ERROR} / ((SELECT count(*) FROM sizes) * {len(RULES)}) GROUP BY 1),
+c AS (
+  SELECT h.stratum, h.rule, t.cutoff FROM h JOIN (VALUES {tests}) AS t(rule, cutoff) ON t.rule = h.rule JOIN allowed a ON a.stratum = h.stratum
+  GROUP BY 1, 2, 3, a.k HAVING count(CASE WHEN value > t.cutoff THEN 1 END) <= a.k),
+cut AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM c GROUP BY 1, 2),
+bad AS (SELECT doc_id, list(m.rule) AS rules FROM m JOIN cut USING (stratum, rule) WHERE value > cutoff GROUP BY 1)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rules IS NULL AS kept,
+       array_to_string(list_filter(['base', {", ".join(f"'{r}'" for r in RULES)}], lambda r: (r = 'base' AND base_failed) OR coalesce(list_contains(rules, r), false)), ',') AS rejected_by
+FROM f LEFT JOIN bad USING (doc_id)
+"""
+
+
+@query("op2_quality", _sql())
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     measured = stored(with_base_measures(docs).drop("text"))
