@@ -102,7 +102,9 @@ def cart_totals(actions: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     cents = F.when(is_add, F.col("price_cents") * F.col("quantity")).otherwise(F.lit(0)).cast("long")
     units = F.when(is_add, F.col("quantity")).otherwise(F.lit(0)).cast("long")
     product = ["product_id"]
-    df = running(keyed, keyed.df, {"_cents": ("sum", cents), "_units": ("sum", units)}, within=product)
+    # Dealt by cart, the windows over (cart, product) and those over the cart need no second shuffle.
+    rows = keyed.df if keyed.sliced else keyed.df.repartition("cart_id")
+    df = running(keyed, rows, {"_cents": ("sum", cents), "_units": ("sum", units)}, within=product)
     df = running(
         keyed,
         df,

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="shelfline-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
