@@ -195,6 +195,10 @@ def stock_change_reason(change: Column, before: Column, after: Column) -> Column
 
 def ledger_events(entries: DataFrame) -> DataFrame:
     """0 to 2 inventory events per ledger row."""
+    return _emit(entries, _event_candidates(), drop=["previous_inventory", "previous_price"])
+
+
+def _event_candidates() -> list[Column]:
     before, after = F.col("previous_inventory"), F.col("current_inventory")
     change = stock_change(before, after)
 
@@ -233,7 +237,7 @@ def ledger_events(entries: DataFrame) -> DataFrame:
             F.concat(F.lit("Deducted "), F.col("qty").cast("string"), F.lit(" for order "), F.col("order_id").cast("string")),
         ),
     )
-    return _emit(entries, [added, stock, price, order], drop=["previous_inventory", "previous_price"])
+    return [added, stock, price, order]
 
 
 def ledger_alerts(
@@ -245,6 +249,10 @@ def ledger_alerts(
 
     Catalogue rows alert below `low_below`, order rows up to and including `order_low_upto`.
     """
+    return _emit(entries, _alert_candidates(low_below, order_low_upto))
+
+
+def _alert_candidates(low_below: int, order_low_upto: int) -> list[Column]:
     before, after = F.col("previous_inventory"), F.col("current_inventory")
     catalogue_moved = is_product() & (before.isNull() | (before != after))
     out = F.when((catalogue_moved | ~is_product()) & (after == 0), out_of_stock_alert())
@@ -253,7 +261,24 @@ def ledger_alerts(
         low_stock_alert(after),
     )
     drop = F.when(price_changed() & (price_percent() <= -10.0), price_drop_alert())
-    return _emit(entries, [out, low, drop])
+    return [out, low, drop]
+
+
+def ledger_outputs(entries: DataFrame, low_below: int = LOW_STOCK_BELOW, order_low_upto: int = ORDER_LOW_STOCK_UPTO) -> DataFrame:
+    """Events and alerts in one pass over the ledger rows: `event` or `alert` is set, with the fields of the single forms.
+
+    Row for row the same as `ledger_events` and `ledger_alerts`, for sinks that want both.
+    """
+    event_type = "struct<event_type:string,change_reason:string,previous_inventory:int,previous_price:double>"
+    alert_type = "struct<alert_type:string,severity:string,message:string>"
+    none = F.lit(None)
+
+    def tagged(c: Column, is_event: bool) -> Column:
+        event, alert = (c, none) if is_event else (none, c)
+        return F.when(c.isNotNull(), F.struct(event.cast(event_type).alias("event"), alert.cast(alert_type).alias("alert")))
+
+    both = [tagged(c, True) for c in _event_candidates()] + [tagged(c, False) for c in _alert_candidates(low_below, order_low_upto)]
+    return _emit(entries, both)
 
 
 def out_of_stock_alert() -> Column:

@@ -9,6 +9,8 @@ from shelfline.operators import routing as R
 from shelfline.operators.running import cents, running_global
 from shelfline.plans import tables as t
 from shelfline.plans import inventory  # noqa: F401  (its SQL is reused below)
+from shelfline.schemas import TOPIC_INVENTORY_ALERTS, TOPIC_INVENTORY_EVENTS, TOPIC_UI_FANOUT
+from shelfline.sinks.topics import ledger_messages
 from shelfline.plans.registry import ORACLES, query
 
 
@@ -147,7 +149,31 @@ UNION ALL SELECT 'inventory-alerts', alert_type, count(*) FROM a GROUP BY 2""",
 )
 def ledger_fanout(spark, folder):
     """Events and alerts of one ledger pass, counted per sink."""
-    entries = L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER)
-    events = L.ledger_events(entries).select(F.col("event_type").alias("kind")).withColumn("topic", F.lit("inventory-events"))
-    alerts = L.ledger_alerts(entries).select(F.col("alert_type").alias("kind")).withColumn("topic", F.lit("inventory-alerts"))
-    return R.union_all(events, alerts).groupBy("topic", "kind").agg(F.count("*").alias("n"))
+    outputs = L.ledger_outputs(L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER))
+    kind = F.coalesce("event.event_type", "alert.alert_type").alias("kind")
+    topic = F.when(F.col("event").isNotNull(), TOPIC_INVENTORY_EVENTS).otherwise(TOPIC_INVENTORY_ALERTS).alias("topic")
+    return outputs.groupBy(topic, kind).agg(F.count("*").alias("n"))
+
+
+@query(
+    "topic_messages",
+    f"""WITH e AS ({ORACLES["inventory_events"]}), a AS ({ORACLES["inventory_alerts"]})
+SELECT CAST(product_id AS VARCHAR) AS key, 'inventory-events' AS topic, NULL AS wrapped, event_type AS kind, ts, current_inventory, current_inventory - previous_inventory AS change,
+       event_type = 'OUT_OF_STOCK' AS critical, reason AS text FROM e
+UNION ALL SELECT CAST(product_id AS VARCHAR), 'websocket_fanout', 'INVENTORY_UPDATE', event_type, ts, current_inventory, current_inventory - previous_inventory,
+       event_type = 'OUT_OF_STOCK', reason FROM e
+UNION ALL SELECT CAST(product_id AS VARCHAR), 'inventory-alerts', NULL, alert_type, ts, NULL, NULL, NULL, message FROM a""",
+)
+def topic_messages(spark, folder):
+    """All messages of one ledger pass, read back field by field; texts with rounded prices are left out."""
+    sent = ledger_messages(L.ledger_outputs(L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER)))
+    wrapped = F.col("topic") == TOPIC_UI_FANOUT
+    body = F.when(wrapped, F.get_json_object("value", "$.payload")).otherwise(F.col("value"))
+    fields = "eventType string, alertType string, timestamp bigint, currentInventory int, inventoryChange int, critical boolean, changeReason string, message string"
+    read = sent.select("key", "topic", F.when(wrapped, F.get_json_object("value", "$.eventType")).alias("wrapped"), F.from_json(body, fields).alias("r"))
+    kind = F.coalesce("r.eventType", "r.alertType")
+    return read.select(
+        "key", "topic", "wrapped", kind.alias("kind"), F.col("r.timestamp").alias("ts"), F.col("r.currentInventory").alias("current_inventory"),
+        F.col("r.inventoryChange").alias("change"), F.col("r.critical").alias("critical"),
+        F.when(~kind.isin("PRICE_CHANGED", "PRICE_DROP"), F.coalesce("r.changeReason", "r.message")).alias("text"),
+    )

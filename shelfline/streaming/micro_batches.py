@@ -118,9 +118,13 @@ def view_sink(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = state.before(spark, batch_id).join(batch.select(state.key).distinct(), state.key, "left_semi")
-        rows = touched.unionByName(batch.select(*touched.columns))
-        state.write(spark, batch_id, latest(rows, [state.key], order))
+        batch = batch.persist()  # read for its keys and for its rows
+        try:
+            touched = state.before(spark, batch_id).join(batch.select(state.key).distinct(), state.key, "left_semi")
+            rows = touched.unionByName(batch.select(*touched.columns))
+            state.write(spark, batch_id, latest(rows, [state.key], order))
+        finally:
+            batch.unpersist()
         publish(state.before(spark, batch_id + 1), batch_id)
 
     return handle
