@@ -97,7 +97,9 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     """
     if not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be 0 to 4")
-    index = _postings(prints, max_bits)
+    # The distinct fingerprints are few bytes, which adaptive execution would leave to a few tasks; 70 rows come of each.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = _postings(prints.repartition(parts, "fp"), max_bits)
     lists = index.groupBy("posting").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1").drop("n")
     members = stored(index.join(lists.hint("shuffle_hash"), "posting"), "snappy")
 
