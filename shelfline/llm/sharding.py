@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.registry import query, table
-from shelfline.llm.storage import folder, stored
+from shelfline.session import new_folder, stored
 
 SLOTS = 4096
 SHARDS = 16
@@ -72,9 +72,9 @@ def rebalanced(current: DataFrame, sums: DataFrame, shards: int, tolerance: floa
         F.sequence(F.lit(0), F.lit(shards - 1)),
         lambda s: F.aggregate(F.filter("kept", lambda x: x["shard"] == s), F.lit(0).cast("bigint"), lambda a, x: a + x["bytes"]),
     )
-    version = current.agg((F.max("version") + 1).alias("version"))
+    version = current.agg(F.max("version")).first()[0] + 1
     slots = marked.where("stays").select("vslot", "shard").unionByName(_fold(one.select("order", loads.alias("loads"))))
-    return slots.crossJoin(F.broadcast(version))  # one row
+    return slots.withColumn("version", F.lit(version))
 
 
 def save_map(slot_map: DataFrame, path: str) -> None:
@@ -120,7 +120,7 @@ def place(records: DataFrame, slot_map: DataFrame, sums: DataFrame) -> DataFrame
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = stored(records_of(table(spark, sf_dir, "documents")))
     sums = stored(slot_sums(records))
-    path = folder(spark)
+    path = new_folder(spark)
     save_map(first_map(sums), path)
     placed = place(records, load_map(spark, path), sums)
     return placed.select(

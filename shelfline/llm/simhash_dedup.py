@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.components import connected_components
 from shelfline.llm.registry import query, table
-from shelfline.llm.storage import stored
-from shelfline.session import materialise
+from shelfline.session import materialise, stored
 
 SEED = 42
 SHINGLE_WORDS = 4

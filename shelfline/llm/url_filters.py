@@ -63,11 +63,10 @@ def evaluate(captures: DataFrame, intervals: DataFrame, period: int = PERIOD_SEC
         "page_id", "url", "fetched_at", "copies", F.posexplode_outer(parts_of(F.col("url"))).alias("depth", "part")
     ).withColumn("period", F.floor(at / period))
     # An interval is listed in each period that has captures and that it reaches: from its start to its end, or to the last capture.
-    ends = captures.agg(F.min("fetched_at").alias("first"), F.max("fetched_at").alias("last"))
-    spans = intervals.crossJoin(F.broadcast(ends))  # one row
-    begin = F.floor(F.greatest("valid_from", "first") / period)
-    end = F.floor(F.least(F.coalesce(F.col("valid_to") - 1, F.col("last")), F.col("last")) / period)
-    dealt = spans.where(begin <= end).select("list", "part", "action", "valid_from", "valid_to", F.explode(F.sequence(begin, end)).alias("period"))
+    first, last = (F.lit(x).cast("long") for x in captures.agg(F.min("fetched_at"), F.max("fetched_at")).first())
+    begin = F.floor(F.greatest(F.col("valid_from"), first) / period)
+    end = F.floor(F.least(F.coalesce(F.col("valid_to") - 1, last), last) / period)
+    dealt = intervals.where(first.isNotNull()).where(begin <= end).select("list", "part", "action", "valid_from", "valid_to", F.explode(F.sequence(begin, end)).alias("period"))
     holds = (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
     joined = parts.join(dealt, ["part", "period"], "left").withColumn("hit", F.coalesce(holds, F.lit(False)))
     best = F.min(F.when(F.col("hit"), F.struct((-F.col("depth")).alias("depth"), F.col("action"), F.concat_ws(":", "list", "part").alias("entry"))))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm import bitsliced_topk as K
 from shelfline.llm import registry, sharding, url_filters
-from shelfline.llm.storage import folder
+from shelfline.session import new_folder
 
 
 def brute_top(vectors, is_query, k):
@@ -90,7 +90,7 @@ def test_sharding(spark):
 def test_versioned_map_is_edited_when_rebalancing(spark):
     _, docs = records(spark)
     sums = sharding.slot_sums(sharding.records_of(docs)).cache()
-    path = folder(spark)
+    path = new_folder(spark)
     sharding.save_map(sharding.first_map(sums), path)
     for shards in (17, 5):
         before = sharding.load_map(spark, path)
