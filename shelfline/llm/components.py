@@ -43,13 +43,14 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every node's larger neighbours on the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("low"))
+    # Written first: a join with an aggregate's own output could not split a hub, one of two shuffles can.
+    least = materialise(both.groupBy("a").agg(F.min("b").alias("low")))
     low = F.least("a", "low")
     return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), low.alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang every node and its smaller neighbours on the smallest of them; edges run from larger to smaller."""
-    least = edges.groupBy("a").agg(F.min("b").alias("low"))
+    least = materialise(edges.groupBy("a").agg(F.min("b").alias("low")))
     hung = edges.join(least, "a").where(F.col("b") > F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     return hung.unionByName(least.select("a", F.col("low").alias("b"))).distinct()

@@ -149,7 +149,8 @@ def named_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     parts = materialise(fingerprint_components(distinct.select("fp"), max_bits))
     labelled = distinct.join(parts, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written first, so that a large component can be split in the join.
+    least = materialise(labelled.groupBy("component").agg(F.min("least").alias("component_id")))
     names = labelled.join(least, "component").select("fp", "component", "component_id")
     return prints.join(names, "fp")
 
