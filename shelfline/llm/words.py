@@ -43,6 +43,11 @@ def byte_letters() -> list[str]:
 
 
 def split_words(text: str) -> list[str]:
+    """White-space separated words; lower-cased at once where that can't change what `pieces` makes of them."""
+    if "<|" not in text and "Σ" not in text and unicodedata.is_normalized("NFC", text):
+        low = text.lower()
+        if unicodedata.is_normalized("NFC", low):  # else normalising after lower-casing would compose more
+            text = low
     if any(c in text for c in _CONTROL):
         return [x for x in _SPACE.split(text) if x]
     return text.split()
@@ -76,14 +81,13 @@ class WordMemo:
         new: set[str] = set()
         for words in texts:
             new.update(words)
-        new.difference_update(self._words)
-        self._learn(new)
+        self._learn([w for w in new if w not in self._words])
         for words in texts:
             yield b"".join(map(self._words.__getitem__, words))
         _forget(self._words, self._caps[0])
         _forget(self._pieces, self._caps[1])
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         cut = {}
         for word in words:
             if "<|" in word:

@@ -28,6 +28,8 @@ ODD = [
     "ab!?" * 300,
     "🇩🇪" * 90,
     "the of and " * 3000,
+    "H\u0331 T\u0308 W\u030a Y\u030a J\u030c \u212a \u0130",
+    "A<|ENDOFTEXT|>B THE Cat",
 ]
 SCHEMA = "doc_id long, text string, ids string, n int, part string, start int, length string"
 
