@@ -147,7 +147,15 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 def named_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """`prints` (doc_id, fp, …) with component, the smallest fingerprint of the row's component, and component_id, its smallest doc_id."""
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    parts = materialise(fingerprint_components(distinct.select("fp"), max_bits))
+    return _labelled(prints, distinct, materialise(fingerprint_components(distinct.select("fp"), max_bits)))
+
+
+def label_components(prints: DataFrame, parts: DataFrame) -> DataFrame:
+    """`prints` (doc_id, fp, …) with component and component_id, by `parts` (fp, component); a fingerprint that is absent there is its own."""
+    return _labelled(prints, materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))), parts)
+
+
+def _labelled(prints: DataFrame, distinct: DataFrame, parts: DataFrame) -> DataFrame:
     labelled = distinct.join(parts, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     # Written first, so that a large component can be split in the join.
     least = materialise(labelled.groupBy("component").agg(F.min("least").alias("component_id")))
@@ -155,14 +163,14 @@ def named_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return prints.join(names, "fp")
 
 
-def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of `docs` (doc_id, text, …) of each component, with all its columns: the one with the smallest doc_id.
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, doc, row): all columns of a row as one, and their hash."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")).withColumn("row", F.xxhash64("doc"))
 
-    Rows with a null doc_id come last, of rows that share an id the one with the smallest hash of the row stays, and of equal rows one.
-    """
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")).withColumn("row", F.xxhash64("doc"))
-    prints = stored(rows.select("doc_id", "row", fingerprint(F.col("text"), words).alias("fp")))
-    named = named_components(prints, max_bits).groupBy("component", "doc_id", "row").agg(F.count("*").alias("n"))
+
+def one_of_each(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Of `rows`, as `keyed_rows` makes them, one of each component of `named` (component, doc_id, row)."""
+    named = named.groupBy("component", "doc_id", "row").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "n"))
     keepers = stored(named.groupBy("component").agg(first.alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.row").alias("kept_row"), "k.n"))
     same = (F.col("row") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
@@ -173,6 +181,16 @@ def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bit
     return kept.unionByName(rows.join(repeated, same).select("row", "kept_id", "doc").dropDuplicates(["row", "kept_id"]).select("doc.*"))
 
 
+def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of `docs` (doc_id, text, …) of each component, with all its columns: the one with the smallest doc_id.
+
+    Rows with a null doc_id come last, of rows that share an id the one with the smallest hash of the row stays, and of equal rows one.
+    """
+    rows = keyed_rows(docs)
+    prints = stored(rows.select("doc_id", "row", fingerprint(F.col("text"), words).alias("fp")))
+    return one_of_each(rows, named_components(prints, max_bits))
+
+
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
