@@ -31,6 +31,12 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 RANDOM_LENGTH = 20
 CHARS_PER_TOKEN = 2.2
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RANDOM_LENGTH)
+_PART = re.compile(r"[^/=_-]+")
+_UUID = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])")
+#: Known digests (MD5, SHA-1, SHA-2 in hexadecimal) and numbers.
+_STRUCTURED = re.compile(
+    r"[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}|[0-9+=/_-]+"
+)
 #: Known digests (MD5, SHA-1, SHA-2 in hexadecimal), identifiers and numbers.
 _KNOWN = re.compile(
     r"[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}"
@@ -60,15 +66,56 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _random_looking(part: str, encoding: tiktoken.Encoding) -> bool:
+    """A part of a run, of any length, with few characters per token; digests, numbers and single tokens are none."""
+    if part.isdigit() or _STRUCTURED.fullmatch(part):
+        return False
+    tokens = len(encoding.encode_ordinary(part))
+    return tokens > 1 and len(part) < CHARS_PER_TOKEN * tokens
+
+
+def _random_in(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) of the longest stretches of random-looking parts of a run that are random as a whole.
+
+    It is the whole run if random-looking parts make up half of it, and if more than words would be left of it.
+    """
+    stretches, words, looking, whole = [], True, 0, [m.span() for m in _UUID.finditer(run)]
+    at_end = False  # the last part was random-looking
+    for m in _PART.finditer(run):
+        if any(a < m.end() and m.start() < b for a, b in whole):
+            at_end = False
+        elif _random_looking(m.group(), encoding):
+            if at_end:
+                stretches[-1] = (stretches[-1][0], m.end())
+            else:
+                stretches.append(m.span())
+            at_end, looking = True, looking + len(m.group())
+        else:
+            at_end = False
+            words &= m.group().isalpha()
+    found = [(a, b) for a, b in stretches if _is_random(run[a:b], encoding)]
+    if found and words and len(found) == len(stretches):
+        return found
+    return [(0, len(run))] if 2 * looking >= len(run) and _is_random(run, encoding) else found
+
+
+def _is_random(string: str, encoding: tiktoken.Encoding) -> bool:
+    if len(string) < RANDOM_LENGTH or _KNOWN.fullmatch(string):
+        return False
+    return len(string) < CHARS_PER_TOKEN * len(encoding.encode_ordinary(string))
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], encoding: tiktoken.Encoding) -> list[tuple[int, int, int]]:
-    """Key-like strings of letters and digits with few characters per token that no base span overlaps."""
+    """Key-like strings of letters and digits with few characters per token that no base span overlaps.
+
+    Names, paths and addresses around a key would hide it, so the parts of a run between / = _ - are tested as well as the whole run. The span is
+    that of the parts, or of the whole run.
+    """
     found = []
     for m in _CANDIDATE.finditer(text):
-        run = m.group()
-        if _KNOWN.fullmatch(run) or any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        if len(run) < CHARS_PER_TOKEN * len(encoding.encode_ordinary(run)):
-            found.append((m.start(), 3, m.end()))
+        for a, b in ((m.start() + a, m.start() + b) for a, b in _random_in(m.group(), encoding)):
+            if not any(x < b and a < y for x, _, y in base):
+                found.append((a, 3, b))
     return found
 
 

@@ -121,3 +121,26 @@ def test_training_reads_about_its_bound(spark):
 
 def test_ngrams_of_short_texts():
     assert [len(language_id.ngram_buckets(language_id.letters("abcd"[:n]))) for n in range(5)] == [0, 1, 3, 6, 9]
+
+
+def found_spans(text):
+    encoding = secret_scan._encoding(*VOCABULARY)
+    return secret_scan.random_spans(text, secret_scan.base_spans(text), encoding)
+
+
+@pytest.mark.parametrize("before", [
+    "production_database_connection_string=", "/home/user/projects/configuration/production/credentials/",
+    "https://example.com/documents/archive/information/download/", "",
+])
+def test_random_strings_behind_names_paths_and_urls(before):
+    rng = random.Random(4)
+    for n in [24] * 50 + [40] * 10:
+        key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+        text, start = f"some words {before}{key} and more", 11 + len(before)
+        assert found_spans(text) == [(start, 3, start + n)]
+
+
+def test_known_structures_in_a_run_are_no_secrets():
+    uuid, digest = "123e4567-e89b-12d3-a456-426614174000", "0123456789ABCDEF" * 2
+    for run in [f"documents/archive/{uuid}/page", f"name_of_the_document={digest}", "the-page-2024-01-01-2024-01-02", "a/path/of/words/and-more-words"]:
+        assert found_spans(f"see {run} there") == []
