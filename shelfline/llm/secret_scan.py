@@ -1,7 +1,7 @@
 """Secrets in texts: known forms by pattern, and random strings by how badly a tokenizer compresses them.
 
 A vocabulary made from ordinary text needs few tokens for words and many for random strings. Strings of key-like characters whose
-characters-per-token ratio is low are reported, after digests, identifiers and numbers are excluded: they are random as well, but no secrets.
+characters-per-token ratio is low are reported, after digests, UUIDs and numbers are excluded: they are random as well, but no secrets.
 """
 
 from __future__ import annotations
@@ -27,22 +27,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 
-#: A random string has this many characters or more, and fewer characters per token than this.
-RANDOM_LENGTH = 20
-CHARS_PER_TOKEN = 2.2
+#: A random string has this many characters or more, and fewer characters per token than this; below SURE_LENGTH, fewer than SHORT_CHARS_PER_TOKEN.
+RANDOM_LENGTH, SURE_LENGTH = 16, 20
+CHARS_PER_TOKEN, SHORT_CHARS_PER_TOKEN = 2.2, 1.8
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RANDOM_LENGTH)
 _PART = re.compile(r"[^/=_-]+")
 _UUID = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])")
-#: Known digests (MD5, SHA-1, SHA-2 in hexadecimal) and numbers.
+#: Known digests (MD5, SHA-1, SHA-2 in hexadecimal), numbers, and a few characters again and again.
 _STRUCTURED = re.compile(
-    r"[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}|[0-9+=/_-]+"
-)
-#: Known digests (MD5, SHA-1, SHA-2 in hexadecimal), identifiers and numbers.
-_KNOWN = re.compile(
-    r"[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}"
-    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
-    r"|[0-9+=/_-]+"
-    r"|(?:(?:[A-Z]?[a-z]{2,}+)++[0-9]*|[A-Z]+[0-9]*|[a-z]+[0-9]*|[0-9]+)(?:[_/-](?:[A-Za-z]+[0-9]*|[0-9]+))*"
+    r"[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}|[0-9+=/_-]+|(.{1,4}?)\1{3,}"
 )
 
 
@@ -100,9 +93,10 @@ def _random_in(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
 
 
 def _is_random(string: str, encoding: tiktoken.Encoding) -> bool:
-    if len(string) < RANDOM_LENGTH or _KNOWN.fullmatch(string):
+    if len(string) < RANDOM_LENGTH or _STRUCTURED.fullmatch(string):
         return False
-    return len(string) < CHARS_PER_TOKEN * len(encoding.encode_ordinary(string))
+    limit = CHARS_PER_TOKEN if len(string) >= SURE_LENGTH else SHORT_CHARS_PER_TOKEN
+    return len(string) < limit * len(encoding.encode_ordinary(string))
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], encoding: tiktoken.Encoding) -> list[tuple[int, int, int]]:

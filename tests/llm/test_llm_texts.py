@@ -144,3 +144,22 @@ def test_known_structures_in_a_run_are_no_secrets():
     uuid, digest = "123e4567-e89b-12d3-a456-426614174000", "0123456789ABCDEF" * 2
     for run in [f"documents/archive/{uuid}/page", f"name_of_the_document={digest}", "the-page-2024-01-01-2024-01-02", "a/path/of/words/and-more-words"]:
         assert found_spans(f"see {run} there") == []
+
+
+@pytest.mark.parametrize("letters, n, least", [
+    (string.ascii_lowercase, 24, 0.98), (string.ascii_lowercase, 32, 0.98), (string.ascii_uppercase, 32, 0.98), (string.ascii_letters, 24, 0.98),
+    (string.ascii_letters + string.digits, 16, 0.98), (string.ascii_lowercase, 16, 0.75), (string.ascii_uppercase, 16, 0.9),
+])
+def test_random_strings_of_every_class_and_length(letters, n, least):
+    rng = random.Random(6)
+    for before in ("", "sk-"):
+        found = 0
+        for _ in range(400):
+            text, start = f"some words {before}{''.join(rng.choices(letters, k=n))} and more", 11 + len(before)
+            found += any(a <= start and start + n <= b for a, _, b in found_spans(text))
+        assert found >= least * 400
+
+
+def test_words_in_names_and_paths_are_no_secrets():
+    for run in ["state-of-the-art-and-up-to-date-as-of-now", "AbstractSingletonProxyFactoryBean", "MAX_RETRY_COUNT_DEFAULT", "/usr/local/share/applications", "utf8mb4_unicode_520_ci", "2024-01-01T10-20-30-abc"]:
+        assert found_spans(f"see {run} there") == []
