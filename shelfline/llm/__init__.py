@@ -6,7 +6,7 @@ queries stand at the end of each module.
 
 import importlib
 
-_MODULES = ("simhash_dedup", "quality_rules", "packing", "bitsliced_topk", "secret_scan", "language_id", "sharding", "bpe", "token_counts", "url_filters", "decontamination", "conversation_repair")
+_MODULES = ("simhash_dedup", "quality_rules", "packing", "bitsliced_topk", "secret_scan", "language_id", "sharding", "bpe", "token_counts", "url_filters", "decontamination", "conversation_repair", "token_alignment")
 
 
 def load_all() -> None:
