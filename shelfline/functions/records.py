@@ -220,23 +220,18 @@ def _violations(rules: dict[str, Column]) -> Column:
 
 
 def validate_events(df: DataFrame) -> DataFrame:
-    """Add `violations`, the rules an inventory event breaks, and default the low-stock level."""
+    """Add `violations`, the rules an inventory event breaks as `rule:field`, and default the low-stock level."""
     kind = F.col("eventType")
     rules = {
-        "productId is required": _blank("productId"),
-        "productName is required": _blank("productName"),
-        "eventType is required": kind.isNull(),
-        "eventType is unknown": kind.isNotNull() & ~kind.isin(*S.INVENTORY_EVENT_TYPES),
-        "Timestamp must be positive": F.coalesce("timestamp", F.lit(0)) <= 0,
-        "previousInventory cannot be negative": F.col("previousInventory") < 0,
-        "currentInventory cannot be negative": F.col("currentInventory") < 0,
-        "previousPrice cannot be negative": F.col("previousPrice") < 0,
-        "currentPrice cannot be negative": F.col("currentPrice") < 0,
-        "currentInventory is required": kind.isin("INVENTORY_INCREASED", "INVENTORY_DECREASED")
-        & F.col("currentInventory").isNull(),
-        "currentPrice is required": (kind == "PRICE_CHANGED") & F.col("currentPrice").isNull(),
-        "OUT_OF_STOCK event should have currentInventory of 0": (kind == "OUT_OF_STOCK")
-        & (F.col("currentInventory") > 0),
+        "missing:productId": _blank("productId"),
+        "missing:productName": _blank("productName"),
+        "missing:eventType": kind.isNull(),
+        "unknown:eventType": kind.isNotNull() & ~kind.isin(*S.INVENTORY_EVENT_TYPES),
+        "not-positive:timestamp": F.coalesce("timestamp", F.lit(0)) <= 0,
+        **{f"negative:{c}": F.col(c) < 0 for c in ("previousInventory", "currentInventory", "previousPrice", "currentPrice")},
+        "missing:currentInventory": kind.isin("INVENTORY_INCREASED", "INVENTORY_DECREASED") & F.col("currentInventory").isNull(),
+        "missing:currentPrice": (kind == "PRICE_CHANGED") & F.col("currentPrice").isNull(),
+        "not-zero:currentInventory": (kind == "OUT_OF_STOCK") & (F.col("currentInventory") > 0),
     }
     level = F.when((kind == "LOW_STOCK_ALERT") & _blank("alertLevel"), "WARNING").otherwise(F.col("alertLevel"))
     return df.withColumn("violations", _violations(rules)).withColumn("alertLevel", level)
@@ -245,8 +240,8 @@ def validate_events(df: DataFrame) -> DataFrame:
 def validate_alerts(df: DataFrame) -> DataFrame:
     """Add `violations`; severity defaults to MEDIUM where it is absent."""
     df = df.withColumn("severity", F.coalesce("severity", F.lit("MEDIUM")))
-    rules = {f"{c} is required": _blank(c) for c in ("alertType", "productId", "message", "severity")}
-    rules["Timestamp must be positive"] = F.coalesce("timestamp", F.lit(0)) <= 0
+    rules = {f"missing:{c}": _blank(c) for c in ("alertType", "productId", "message", "severity")}
+    rules["not-positive:timestamp"] = F.coalesce("timestamp", F.lit(0)) <= 0
     return df.withColumn("violations", _violations(rules))
 
 

@@ -109,7 +109,7 @@ def test_alert_rules(spark):
     )
     good, bad = R.validate_alerts(df).collect()
     assert (good.severity, good.violations) == ("MEDIUM", [])
-    assert bad.violations == ["productId is required", "Timestamp must be positive"]
+    assert bad.violations == ["missing:productId", "not-positive:timestamp"]
 
 
 def test_partial_products_skip_nulls_and_additions(spark):
