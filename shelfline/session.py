@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,9 +82,28 @@ def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def new_folder(spark: SparkSession) -> str:
-    """A new folder of this application under the shared one."""
-    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    """A new folder of this application under the shared one, inside the folder of the scope where there is one."""
+    return f"{_SCOPE.get() or _own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[str]:
+    """Tables stored inside go to a folder of their own, which `drop_folder` deletes once nothing reads them."""
+    folder = new_folder(spark)
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -90,8 +112,7 @@ def _own_folder(spark: SparkSession) -> str:
 
 def discard_stored(spark: SparkSession) -> None:
     """Delete what `stored` has written in this application, once no result is read any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folder(spark, _own_folder(spark))
 
 
 def input_bytes(df: DataFrame) -> int:
