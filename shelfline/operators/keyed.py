@@ -79,14 +79,18 @@ def order_by_key(
     order: Sequence[str],
     before: int = 0,
     after: int = 0,
+    tie: bool = True,
 ) -> Keyed:
     """Prepare `df` for windows over `keys` in `order` that look at most `before`/`after` rows away.
 
-    Unbounded running aggregates go through `running`, whatever `before` is.
+    Unbounded running aggregates go through `running`, whatever `before` is. `tie=False` leaves the hash out that orders rows which tie in `order`:
+    where `order` tells all rows of a key apart, or the result does not depend on the order of those that tie.
     """
-    spark, keys, order = df.sparkSession, tuple(keys), (*order, TIE)
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    df = df.withColumn(TIE, F.xxhash64(*hashable))
+    spark, keys, order = df.sparkSession, tuple(keys), tuple(order)
+    if tie:
+        order = (*order, TIE)
+        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        df = df.withColumn(TIE, F.xxhash64(*hashable))
     plain = Keyed(df, keys, order)
     if input_bytes(df) <= setting(spark, SLICE_CHECK_BYTES):
         return plain

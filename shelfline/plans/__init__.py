@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("inventory", "state", "quiet", "routes", "messages", "read_model", "shop", "activity", "social", "end_to_end", "streams")
+_MODULES = ("inventory", "state", "quiet", "routes", "messages", "read_model", "shop", "activity", "social", "end_to_end", "streams", "history")
 
 
 def load_all() -> None:
