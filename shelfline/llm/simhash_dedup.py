@@ -150,11 +150,6 @@ def named_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return _labelled(prints, distinct, materialise(fingerprint_components(distinct.select("fp"), max_bits)))
 
 
-def label_components(prints: DataFrame, parts: DataFrame) -> DataFrame:
-    """`prints` (doc_id, fp, …) with component and component_id, by `parts` (fp, component); a fingerprint that is absent there is its own."""
-    return _labelled(prints, materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))), parts)
-
-
 def _labelled(prints: DataFrame, distinct: DataFrame, parts: DataFrame) -> DataFrame:
     labelled = distinct.join(parts, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     # Written first, so that a large component can be split in the join.
@@ -164,21 +159,30 @@ def _labelled(prints: DataFrame, distinct: DataFrame, parts: DataFrame) -> DataF
 
 
 def keyed_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, doc, row): all columns of a row as one, and their hash."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")).withColumn("row", F.xxhash64("doc"))
+    """(doc_id, text, doc, row): all columns of a row as one, whatever their names and types, and their hash."""
+    quoted = {f.name: F.col("`" + f.name.replace("`", "``") + "`") for f in docs.schema.fields}
+    # Maps have no hash of their own; their JSON text stands for them.
+    parts = [F.to_json(F.struct(quoted[f.name])) if "map<" in f.dataType.simpleString() else quoted[f.name] for f in docs.schema.fields]
+    return docs.select("doc_id", "text", F.struct(*quoted.values()).alias("doc"), F.xxhash64(*parts).alias("row"))
 
 
 def one_of_each(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """Of `rows`, as `keyed_rows` makes them, one of each component of `named` (component, doc_id, row)."""
-    named = named.groupBy("component", "doc_id", "row").agg(F.count("*").alias("n"))
+    """Of `rows`, as `keyed_rows` makes them, one of each component of `named` (component, doc_id, row).
+
+    The rows that go are looked up, not those that stay: they are fewer, so that they are often broadcast.
+    """
+    named = stored(named.groupBy("component", "doc_id", "row").agg(F.count("*").alias("n")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "n"))
-    keepers = stored(named.groupBy("component").agg(first.alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.row").alias("kept_row"), "k.n"))
-    same = (F.col("row") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    kept = rows.join(keepers.where("n = 1"), same).select("doc.*")
-    repeated = keepers.where("n > 1")
+    keepers = stored(named.groupBy("component").agg(first.alias("k"), F.sum("n").alias("size")).where("size > 1"))
+    own = (F.col("row") == F.col("k.row")) & F.col("doc_id").eqNullSafe(F.col("k.doc_id"))
+    found = named.join(keepers, "component").select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), own.alias("keeper"), "n")
+    gone = stored(found.where("NOT keeper OR n > 1"))
+    same = (F.col("row") == F.col("gone_row")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    kept = rows.join(gone, same, "left_anti").select("doc.*")
+    repeated = gone.where("keeper")
     if repeated.isEmpty():
         return kept
-    return kept.unionByName(rows.join(repeated, same).select("row", "kept_id", "doc").dropDuplicates(["row", "kept_id"]).select("doc.*"))
+    return kept.unionByName(rows.join(repeated, same).select("row", "gone_id", "doc").dropDuplicates(["row", "gone_id"]).select("doc.*"))
 
 
 def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:

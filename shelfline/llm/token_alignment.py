@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -31,6 +32,9 @@ from shelfline.session import stored
 #: Tokens of a lane, about, and how far a common end is searched for beyond them.
 LANE, REACH = 512, 64
 _SPACE = "▁"
+#: White-space characters in a row from which on a text is left to the slower library.
+LONG_SPACE = 50_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 #: How the byte-level vocabulary splits a text before merging; a fixed value of its file's kind.
 _PATTERN = public_tokenizers.PATTERN
 
@@ -50,9 +54,18 @@ class ByteLevel:
         for token, i in ranks.items():
             self.bytes[i] = token
         self._encoding = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._path = path
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        return [self._encoding.encode_ordinary(" " + t) for t in texts]
+        return [self._by_library(t) if len(t) > LONG_SPACE and _LONG_SPACE.search(t) else self._encoding.encode_ordinary(" " + t) for t in texts]
+
+    def _by_library(self, text: str) -> list[int]:
+        """For white space so long that tiktoken's splitter runs out of stack."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self._path)
+        library.encode_special_tokens = True
+        return library.encode(" " + text, add_special_tokens=False).ids
 
 
 class Pieces:

@@ -99,6 +99,17 @@ def test_encoders_equal_the_libraries(spark, libraries):
         assert (x, y) == tuple(map(list, libraries[0](text))), text
 
 
+def test_long_white_space():
+    """Longer than what tiktoken's splitter can stand, and equal to it below that."""
+    a = A.ByteLevel(PATHS[0])
+    for n in (100, A.LONG_SPACE, 2_000_000):
+        text = " " * n + "x" + "\n" * 10
+        (ids,) = a([text])
+        assert b"".join(a.bytes[i] for i in ids) == b" " + text.encode()
+    text = "\t" * 60_000 + "x"
+    assert a([text]) == [a._encoding.encode_ordinary(" " + text)]
+
+
 def test_links_and_cuts(spark, libraries):
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, a_ids int")
     rows = {r.doc_id: r for r in A.token_links(df, *PATHS).collect()}
