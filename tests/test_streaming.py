@@ -284,3 +284,60 @@ def test_fan_out_writes_each_route_from_one_batch(spark, tmp_path):
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "all")).count() == 2
     assert found(spark.read.parquet(str(tmp_path / "low")), "product_id") == [("a",)]
+
+
+def test_late_rows_go_to_a_channel_of_their_own(spark, tmp_path):
+    """Against a running maximum per file; rows without a time are on time, and nothing is lost or doubled by a repeated batch."""
+    schema = "k STRING, ts LONG, n INT"
+    files = [[("a", 1000, 1), ("b", 9000, 2)], [("a", 2000, 3), ("b", 7999, 4), ("b", 8000, 5), (None, 20_000, 6)], [("a", None, 7), ("a", 18_999, 8), ("b", 19_000, 9)]]
+    folder = str(tmp_path / "in")
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    on, late = (out.folder_sink(str(tmp_path / name)) for name in ("on", "late"))
+    split = out.late_split(on, late)
+
+    def twice(batch, batch_id):
+        split(batch, batch_id)
+        split(batch, batch_id)
+
+    query = st.by_lateness(read_stream(spark, folder, schema), "k", "1 second").writeStream.outputMode("update")
+    query.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(twice).trigger(availableNow=True).start().awaitTermination()
+    top, want = 0, []
+    for rows in files:
+        mark = max(0, top - 1000)
+        want += [(n, mark) for _, ts, n in rows if ts is not None and ts < mark]
+        top = max([top, *(ts for _, ts, _ in rows if ts is not None)])
+    assert sorted((r.n, r.watermark_ms) for r in spark.read.parquet(str(tmp_path / "late")).collect()) == want == [(3, 8000), (4, 8000), (8, 19000)]
+    kept = spark.read.parquet(str(tmp_path / "on"))
+    assert kept.columns[:3] == ["k", "ts", "n"] and sorted(r.n for r in kept.collect()) == [1, 2, 5, 6, 7, 9]
+
+
+def test_metrics_are_handed_on_in_full_batches(spark, tmp_path):
+    from shelfline.streaming import metrics
+
+    folder = write_files(spark, [(i, "xy"[i % 2]) for i in range(12)], "i INT, event_type STRING", tmp_path / "in", 4)
+    written = metrics.table_writer(spark, str(tmp_path / "metrics"))
+    listener = metrics.RunMetrics(written, every=3)
+    spark.streams.addListener(listener)
+    try:
+        df = metrics.type_counts(read_stream(spark, folder, "i INT, event_type STRING"), ["x", "y"]).groupBy("event_type").count()
+        query = df.writeStream.queryName("counts").outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
+        query = query.foreachBatch(lambda batch, i: batch.collect()).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert listener.rows(query) == []
+    finally:
+        spark.streams.removeListener(listener)
+    got = spark.read.schema(metrics.METRICS).json(str(tmp_path / "metrics")).where("input_rows > 0").orderBy("batch").collect()
+    assert [(r.query, r.batch, r.input_rows, r.state_rows) for r in got] == [("counts", k, 3, 2) for k in range(4)]
+    assert sum(int(r.observed["types.x"]) for r in got) == 6
+
+
+def test_replay_has_every_row_once(spark):
+    """Slices of equal values, rows without a value, and no rows at all."""
+    from shelfline.plans import streams
+
+    rows = spark.createDataFrame([(None, -1), *((5, i) for i in range(20)), *((i, 100 + i) for i in range(30))], "ts LONG, n INT")
+    for df in (rows, rows.limit(0)):
+        got = streams.emitted(streams.replayed(df).groupBy("n").count(), "update")
+        assert sorted(r.n for r in got.collect()) == sorted(r.n for r in df.collect())
+        assert {r["count"] for r in got.collect()} <= {1}
