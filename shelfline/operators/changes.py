@@ -24,6 +24,7 @@ def with_previous(
     cols: Sequence[str] = ("inventory", "price", "ts"),
     order: Sequence[str] = ORDER,
     ttl_ms: int | None = None,
+    chain: bool = False,
 ) -> DataFrame:
     """Add `previous_<col>` from the product's previous row.
 
@@ -39,7 +40,7 @@ def with_previous(
             df = df.withColumn(f"_kept_{c}", F.when(alive, F.col(f"previous_{c}")))
         for c in wanted:
             df = df.drop(f"previous_{c}").withColumnRenamed(f"_kept_{c}", f"previous_{c}")
-    return keyed.finish(df)
+    return keyed.finish(df, chain)
 
 
 def track_changes(products: DataFrame, order: Sequence[str] = ORDER, ttl_ms: int | None = None) -> DataFrame:

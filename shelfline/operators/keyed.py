@@ -52,9 +52,10 @@ class Keyed:
         parts = [*self.keys, *([SLICE] if self.sliced else []), *within]
         return Window.partitionBy(*(parts or [F.lit(0)])).orderBy(*self.order)
 
-    def finish(self, df: DataFrame) -> DataFrame:
-        """Drop halo rows and helper columns."""
-        return df.where(~F.col(HALO)).drop(SLICE, HALO, TIE) if self.sliced else df.drop(TIE)
+    def finish(self, df: DataFrame, chain: bool = False) -> DataFrame:
+        """Drop halo rows and helper columns. With `chain` the hash of ties stays, so that a next step in the same order needs no second sort."""
+        kept = df.where(~F.col(HALO)).drop(SLICE, HALO) if self.sliced else df
+        return kept if chain else kept.drop(TIE)
 
     def with_df(self, df: DataFrame) -> Keyed:
         return replace(self, df=df)
@@ -89,6 +90,7 @@ def order_by_key(
     spark, keys, order = df.sparkSession, tuple(keys), tuple(order)
     if tie:
         order = (*order, TIE)
+    if tie and TIE not in df.columns:  # else a step before this one has left it
         hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         df = df.withColumn(TIE, F.xxhash64(*hashable))
     plain = Keyed(df, keys, order)

@@ -33,8 +33,8 @@ def tag_streams(products: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def ledger(rows: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """Every row of a known product with the stock and price before and after it.
+def ledger(rows: DataFrame, order: Sequence[str] = ("ts", "seq"), chain: bool = False) -> DataFrame:
+    """Every row of a known product with the stock and price before and after it; `chain` as in `Keyed.finish`.
 
     Orders that come before the first catalogue row of their product are left out; see
     `orders_before_product`.
@@ -43,7 +43,7 @@ def ledger(rows: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     if keyed.sliced:
         keyed = _with_opening_stock(keyed)
     out = _replay(keyed)
-    return keyed.finish(out.where(F.col("base").isNotNull())).drop("base", "ordered")
+    return keyed.finish(out.where(F.col("base").isNotNull()), chain).drop("base", "ordered")
 
 
 def orders_before_product(rows: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
@@ -173,6 +173,26 @@ def price_percent() -> Column:
     return F.try_divide(price_step(), F.col("previous_price")) * 100
 
 
+def whole_cents(price: str) -> Column:
+    return F.round(F.col(price) * 100).cast("long")
+
+
+def dollars(cents: Column) -> Column:
+    """Whole cents as text, made of integers: formatting doubles differs between engines in the last digit."""
+    return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def _cents_step() -> Column:
+    return F.abs(whole_cents("current_price") - whole_cents("previous_price"))
+
+
+def _percent_text() -> Column:
+    """The change in percent to one digit, without a sign; null when the previous price has no cents."""
+    base = whole_cents("previous_price")
+    tenths = F.floor(F.try_divide(_cents_step() * 2000 + base, base * 2))
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def stock_change(before: Column, after: Column) -> Column:
     """Name of a stock change on a catalogue row; null when nothing changed."""
     return (
@@ -185,6 +205,7 @@ def stock_change(before: Column, after: Column) -> Column:
 
 
 def stock_change_reason(change: Column, before: Column, after: Column) -> Column:
+    # The texts of the message contract, here and in the events and alerts below.
     return (
         F.when(change == "OUT_OF_STOCK", F.lit("Product is now out of stock"))
         .when(change == "BACK_IN_STOCK", F.format_string("Product restocked with %d units", after))
@@ -222,11 +243,9 @@ def _event_candidates() -> list[Column]:
         price_changed(),
         event(
             F.lit("PRICE_CHANGED"),
-            F.format_string(
-                "Price %s by $%.2f (%.1f%%)",
-                F.when(price_step() > 0, "increased").otherwise("decreased"),
-                F.abs(price_step()),
-                F.abs(price_percent()),
+            F.concat(
+                F.lit("Price "), F.when(price_step() > 0, "increased").otherwise("decreased"), F.lit(" by $"), dollars(_cents_step()),
+                F.coalesce(F.concat(F.lit(" ("), _percent_text(), F.lit("%)")), F.lit("")),
             ),
         ),
     )
@@ -301,9 +320,8 @@ def price_drop_alert() -> Column:
     return F.struct(
         F.lit("PRICE_DROP").alias("alert_type"),
         F.lit("INFO").alias("severity"),
-        F.format_string(
-            "Price dropped %.1f%% from $%.2f to $%.2f",
-            F.abs(price_percent()), F.col("previous_price"), F.col("current_price"),
+        F.concat(
+            F.lit("Price dropped "), _percent_text(), F.lit("% from $"), dollars(whole_cents("previous_price")), F.lit(" to $"), dollars(whole_cents("current_price")),
         ).alias("message"),
     )
 

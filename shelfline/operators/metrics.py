@@ -117,7 +117,7 @@ def seen_in_last(events: DataFrame, window_ms: int, key: str = "user_id", order:
 
 def session_features(events: DataFrame, gap_ms: int, key: str = "user_id", order: Sequence[str] = ORDER) -> DataFrame:
     """Depth, views, clicks, click rate and mean time on a view, per session."""
-    sessions = number_sessions(events, gap_ms, key, order)
+    sessions = number_sessions(events, gap_ms, key, order, chain=True)
     keyed = order_by_key(sessions, [key], order, after=1)
     spec = keyed.window()
     same = F.lead("session_no").over(spec) == F.col("session_no")

@@ -18,16 +18,16 @@ def cents(price: Column) -> Column:
     return F.round(price * 100).cast("long")
 
 
-def drops(products: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """Updates that lowered the stock, with the `units_sold`."""
-    df = with_previous(products, ("inventory",), order)
+def drops(products: DataFrame, order: Sequence[str] = ORDER, chain: bool = False) -> DataFrame:
+    """Updates that lowered the stock, with the `units_sold`; `chain` as in `Keyed.finish`."""
+    df = with_previous(products, ("inventory",), order, chain=chain)
     sold = F.col("previous_inventory") - F.col("inventory")
     return df.withColumn("units_sold", sold).where(F.col("units_sold") > 0)
 
 
 def sales_total(products: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Per sale the amount at the current price and the product's running total, in cents."""
-    sales = drops(products, order).withColumn("sale_cents", F.col("units_sold") * cents(F.col("price")))
+    sales = drops(products, order, chain=True).withColumn("sale_cents", F.col("units_sold") * cents(F.col("price")))
     keyed = order_by_key(sales, [KEY], order)
     out = running(keyed, keyed.df, {"total_cents": ("sum", F.col("sale_cents"))})
     return keyed.finish(out)
@@ -54,7 +54,7 @@ def price_trend(products: DataFrame, n: int = PRICE_HISTORY, order: Sequence[str
 
 def category_sales(products: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Running units sold per (product, category) for products in several `categories`."""
-    sales = drops(products, order).withColumn("category", F.explode(F.array_distinct("categories"))).drop("categories")
+    sales = drops(products, order, chain=True).withColumn("category", F.explode(F.array_distinct("categories"))).drop("categories")
     keyed = order_by_key(sales, [KEY, "category"], order)
     return keyed.finish(running(keyed, keyed.df, {"category_units": ("sum", F.col("units_sold").cast("long"))}))
 
@@ -120,11 +120,20 @@ def balances(
     kind: str = "type",
     fraud_below: int = -1000,
     order: Sequence[str] = ORDER,
+    kinds: Sequence[str] = (),
 ) -> DataFrame:
-    """Running balance per account, count per transaction type, overdraft and fraud flags."""
+    """Running balance per account, count per transaction type, overdraft and fraud flags.
+
+    With the `kinds` that occur all counts run along with the balance in one sort; types outside of them have none then.
+    """
     keyed = order_by_key(transactions, [account], order)
-    df = running(keyed, keyed.df, {"new_balance": ("sum", F.col(amount))})
-    df = running(keyed.with_df(df), df, {"type_count": ("count", F.col(amount))}, within=[kind])
+    counts = {f"_n{k}": ("count", F.when(F.col(kind) == name, F.col(amount))) for k, name in enumerate(kinds)}
+    df = running(keyed, keyed.df, {"new_balance": ("sum", F.col(amount)), **counts})
+    if kinds:
+        own = F.coalesce(*(F.when(F.col(kind) == name, F.col(f"_n{k}")) for k, name in enumerate(kinds)))
+        df = df.withColumn("type_count", own).drop(*counts)
+    else:
+        df = running(keyed.with_df(df), df, {"type_count": ("count", F.col(amount))}, within=[kind])
     return keyed.finish(
         df.withColumn("previous_balance", F.col("new_balance") - F.col(amount))
         .withColumn("overdraft", F.col("new_balance") < 0)
@@ -146,8 +155,8 @@ def inventory_value(products: DataFrame, order: Sequence[str] = ORDER) -> DataFr
     )
 
 
-def warehouse_totals(levels: DataFrame, low: int = 10, order: Sequence[str] = ORDER) -> DataFrame:
-    """Stock over all sites after every site update, with an alert flag when below `low`.
+def warehouse_totals(levels: DataFrame, low: int = 10, order: Sequence[str] = ORDER, chain: bool = False) -> DataFrame:
+    """Stock over all sites after every site update, with an alert flag when below `low`; `chain` as in `Keyed.finish`.
 
     Each row of `levels` sets one site's stock; the change against that site's previous row is
     what the product's total moves by.
@@ -156,17 +165,17 @@ def warehouse_totals(levels: DataFrame, low: int = 10, order: Sequence[str] = OR
     moved = keyed.df.withColumn(
         "_delta", F.col("inventory") - F.coalesce(F.lag("inventory").over(keyed.window()), F.lit(0))
     )
-    per_product = order_by_key(keyed.finish(moved), [KEY], order)
+    per_product = order_by_key(keyed.finish(moved, chain=True), [KEY], order)
     out = running(per_product, per_product.df, {"total_inventory": ("sum", F.col("_delta").cast("long"))})
-    return per_product.finish(out.withColumn("low_total", F.col("total_inventory") < low)).drop("_delta")
+    return per_product.finish(out.withColumn("low_total", F.col("total_inventory") < low), chain).drop("_delta")
 
 
 def reorder_due(levels: DataFrame, low_for_ms: int, horizon: int, low: int = 10, order: Sequence[str] = ORDER) -> DataFrame:
     """Intervals in which a product's total stayed below `low` for at least `low_for_ms`."""
-    totals = warehouse_totals(levels, low, order)
+    totals = warehouse_totals(levels, low, order, chain=True)
     keyed = order_by_key(totals, [KEY], order, before=1)
     flips = keyed.finish(
-        keyed.df.withColumn("_was", F.coalesce(F.lag("low_total").over(keyed.window()), F.lit(False)))
+        keyed.df.withColumn("_was", F.coalesce(F.lag("low_total").over(keyed.window()), F.lit(False))), chain=True
     ).where(F.col("low_total") != F.col("_was"))
     keyed = order_by_key(flips, [KEY], order, after=1)
     ended = keyed.df.withColumn("low_until", F.lead("ts").over(keyed.window()))

@@ -91,12 +91,13 @@ def number_sessions(
     gap_ms: int = SESSION_GAP_MS,
     key: str = "user_id",
     order: Sequence[str] = ORDER,
+    chain: bool = False,
 ) -> DataFrame:
-    """Add `session_no` (1, 2 … per key): a new session starts `gap_ms` or more after the last row."""
+    """Add `session_no` (1, 2 … per key): a new session starts `gap_ms` or more after the last row; `chain` as in `Keyed.finish`."""
     keyed = order_by_key(activity, [key], order, before=1)
     last = F.lag("ts").over(keyed.window())
     df = keyed.df.withColumn("_new", F.when(last.isNull() | (F.col("ts") - last >= gap_ms), 1).otherwise(0))
-    return keyed.finish(running(keyed, df, {"session_no": ("sum", F.col("_new"))})).drop("_new")
+    return keyed.finish(running(keyed, df, {"session_no": ("sum", F.col("_new"))}), chain).drop("_new")
 
 
 def session_timeouts(

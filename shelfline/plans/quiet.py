@@ -23,7 +23,7 @@ SELECT product_id, ts + {30 * DAY} AS ts, 'part-' || product_id AS product_name,
 FROM nx WHERE nxt - ts > {30 * DAY} OR (nxt IS NULL AND {HORIZON} - ts >= {30 * DAY})""",
 )
 def stale_inventory(spark, folder):
-    entries = L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER)
+    entries = L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER, chain=True)
     return T.stale_events(T.stale(entries, HORIZON, 30 * DAY, t.LINE_ORDER), 30 * DAY)
 
 

@@ -79,7 +79,7 @@ def point_buffer(spark, folder):
 
 
 FANOUT = """fan AS (SELECT event_id, CASE event_type WHEN 'click' THEN 'RECOMMENDATION' WHEN 'purchase' THEN 'SHOPPING_CART' WHEN 'view' THEN 'PRODUCT_UPDATE'
-       ELSE 'ONLINE_USERS' END AS event_type, CAST(user_id AS VARCHAR) AS to_user, CAST(user_id % 40 AS VARCHAR) AS key FROM events)"""
+       ELSE 'ONLINE_USERS' END AS event_type, CAST(user_id AS VARCHAR) AS to_user, CAST(user_id AS VARCHAR) AS key FROM events)"""
 
 
 def fanout(spark, folder):
@@ -89,7 +89,7 @@ def fanout(spark, folder):
         F.when(kind == "click", "RECOMMENDATION").when(kind == "purchase", "SHOPPING_CART").when(kind == "view", "PRODUCT_UPDATE")
         .otherwise("ONLINE_USERS").alias("event_type"),
         F.col("user_id").cast("string").alias("to_user"),
-        (F.col("user_id") % 40).cast("string").alias("key"),
+        F.col("user_id").cast("string").alias("key"),
     )
 
 
@@ -133,12 +133,12 @@ def recommendation_routing(spark, folder):
 @query(
     "assistant_routing",
     """SELECT conv_id || '-' || turn AS id, c.connection_id FROM conversations
-LEFT JOIN (SELECT o_orderkey % 60 AS s, max('conn-' || o_orderkey) AS connection_id FROM orders GROUP BY 1) c ON c.s = conv_id
+LEFT JOIN (SELECT o_orderkey // 3 AS s, max('conn-' || o_orderkey) AS connection_id FROM orders GROUP BY 1) c ON c.s = conv_id
 WHERE role = 'assistant'""",
 )
 def assistant_routing(spark, folder):
     responses = t.chat(spark, folder).where(F.col("user_id").startswith("assistant")).select("id", F.col("room").alias("session_id"))
-    conns = t.table(spark, folder, "orders").groupBy((F.col("o_orderkey") % 60).alias("session_id")).agg(
+    conns = t.table(spark, folder, "orders").groupBy(F.expr("o_orderkey div 3").alias("session_id")).agg(
         F.max(F.concat(F.lit("conn-"), F.col("o_orderkey").cast("string"))).alias("connection_id")
     )
     return C.response_connections(responses, conns).select("id", "connection_id")

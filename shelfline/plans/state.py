@@ -201,6 +201,10 @@ def anomalies(spark, folder):
     )
 
 
+#: The event types of the given table.
+TRANSACTION_KINDS = ("view", "click", "purchase", "signup", "error")
+
+
 @query(
     "balances",
     """WITH tx AS (SELECT user_id AS account_id, epoch_us(ts) // 1000 AS ts, event_id AS seq, event_type AS type,
@@ -220,7 +224,7 @@ def balances(spark, folder):
         kind.alias("type"),
         (R.cents(F.col("value")) * F.when(kind.isin("purchase", "error"), -1).otherwise(1)).alias("amount"),
     )
-    return R.balances(tx, fraud_below=-100_000)
+    return R.balances(tx, fraud_below=-100_000, kinds=TRANSACTION_KINDS)
 
 
 @query(

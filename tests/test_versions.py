@@ -108,3 +108,31 @@ def test_rules_hold_from_their_time_on(spark):
     got = sorted((r.id, r.output) for r in V.rules_as_of(df, log, "cat", "value").collect())
     assert got == [(1, "x"), (2, "x"), (2, "y"), (4, "x"), (6, "x"), (6, "y"), (50, "z")]
     assert rows(V.rules_as_of(df, log.limit(0), "cat", "value")) == []
+
+
+def sorts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Sort [")
+
+
+def test_chained_steps_share_a_sort(spark):
+    """Steps in the same order of the same key find the rows sorted; all of them once in one shuffle."""
+    from shelfline.operators import ledger, metrics, running, timers
+
+    rows = spark.createDataFrame([], "product_id long, ts long, seq long, kind string, qty int, inventory int, price double, name string, order_id string")
+    assert sorts(running.sales_total(rows)) == 1
+    assert sorts(timers.stale(ledger.ledger(rows, chain=True), 100)) == 1
+    levels = spark.createDataFrame([], "product_id long, site string, inventory int, ts long, seq long")
+    assert sorts(running.reorder_due(levels, 10, 100)) == 2
+    tx = spark.createDataFrame([], "account_id long, ts long, seq long, type string, amount long")
+    assert sorts(running.balances(tx, kinds=("in", "out"))) == 1
+    events = spark.createDataFrame([], "user_id long, ts long, seq long, event_type string")
+    assert sorts(metrics.session_features(events, 10)) <= 2
+
+
+def test_counts_of_given_kinds_equal_those_by_window(spark, both_ways):
+    from shelfline.operators import running
+
+    rng = random.Random(3)
+    tx = spark.createDataFrame([(rng.randrange(3), k // 2, k, rng.choice("abc"), rng.randrange(-9, 9)) for k in range(200)], "account_id long, ts long, seq long, type string, amount long")
+    named = both_ways(lambda: running.balances(tx, kinds=("a", "b", "c")))
+    assert named[0] == named[1] == rows(running.balances(tx))
