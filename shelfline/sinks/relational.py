@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.carts import available
@@ -80,16 +82,57 @@ def order_tables(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFr
     return head, lines
 
 
-def order_sink(head: dict[str, str], lines: dict[str, str], items_of):
-    """A `foreachBatch` function over orders that writes the two tables over JDBC; `items_of(orders)` gives a batch's order lines.
+def merge_statement(target: str, staged: str, keys: Sequence[str], columns: Sequence[str]) -> str:
+    """Standard SQL that brings the rows of table `staged` into `target`: rows with a known key are set anew, others inserted."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    rest = [c for c in columns if c not in keys]
+    change = f" WHEN MATCHED THEN UPDATE SET {', '.join(f'{c} = s.{c}' for c in rest)}" if rest else ""
+    return (
+        f"MERGE INTO {target} AS t USING {staged} AS s ON ({on}){change}"
+        f" WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({', '.join(f's.{c}' for c in columns)})"
+    )
 
-    A retried batch writes the same rows again: they go to tables named after the batch, which replace themselves, and the
-    database merges a batch's tables by order id. Lines are written first, so a head never stands without them.
-    """
 
-    def write(orders: DataFrame, batch_id: int) -> None:
-        order_rows, item_rows = order_tables(orders, items_of(orders))
-        write_jdbc(stamp_update(item_rows), "overwrite", **{**lines, "dbtable": f"{lines['dbtable']}_{batch_id}"})
-        write_jdbc(stamp_update(order_rows), "overwrite", **{**head, "dbtable": f"{head['dbtable']}_{batch_id}"})
+def order_sink(head: dict[str, str], lines: dict[str, str], items_of, run=None, write=write_jdbc, line_keys: Sequence[str] = ("order_id", "product_id")):
+    """A `foreachBatch` function over orders that merges them into the two tables over JDBC; `items_of(orders)` gives a batch's order lines.
 
-    return write
+    A batch's rows go to tables named after the batch, which replace themselves when the batch is retried. Then one transaction merges both into
+    their targets and drops them: that is the commit point, after which a retry merges the same rows again without a change. `run(options, statements)` runs the
+    statements in one transaction, by default over JDBC from the driver. Lines of an order that share the `line_keys` have to be summed before.
+    """
+    run = run or run_jdbc
+
+    def sink(orders: DataFrame, batch_id: int) -> None:
+        order_rows, item_rows = (stamp_update(df) for df in order_tables(orders, items_of(orders)))
+        done, gone = [], []
+        for rows, options, keys in ((order_rows, head, ("order_id",)), (item_rows, lines, tuple(line_keys))):
+            staged = f"{options['dbtable']}_{batch_id}"
+            write(rows, "overwrite", **{**options, "dbtable": staged})
+            done.append(merge_statement(options["dbtable"], staged, keys, rows.columns))
+            gone.append(f"DROP TABLE {staged}")
+        run(head, done + gone)
+
+    return sink
+
+
+def run_jdbc(options: dict[str, str], statements: Sequence[str]) -> None:
+    """Run statements in one transaction on the database of JDBC `options`."""
+    spark = SparkSession.getActiveSession()
+    jvm = spark.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if name in options:
+            login.setProperty(name, options[name])
+    connection = jvm.java.sql.DriverManager.getConnection(options["url"], login)
+    try:
+        connection.setAutoCommit(False)
+        for text in statements:
+            statement = connection.createStatement()
+            statement.executeUpdate(text)
+            statement.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
