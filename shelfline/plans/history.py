@@ -1,4 +1,4 @@
-"""Change logs applied to tables, and values as of a row's own time."""
+"""Change logs applied to tables, values as of a row's own time, and questions answered from stored totals and indexes."""
 
 from __future__ import annotations
 
@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions import records as R
+from shelfline.operators import panes as P
+from shelfline.operators import sessions as S
+from shelfline.operators import text_index as X
 from shelfline.operators import versions as V
+from shelfline.operators.baskets import as_recommendations, pair_rules
+from shelfline.operators.timers import number_sessions
 from shelfline.plans import tables as t
+from shelfline.plans.quiet import DAY, SESSIONS
+from shelfline.plans.read_model import ALL
 from shelfline.plans.registry import query
+from shelfline.session import new_folder
 
 HOUR = 3_600_000
 LINE_ROW = "order_item_id: BIGINT, order_id: STRING, product_id: STRING, quantity: INT"
@@ -98,3 +106,103 @@ def rule_routes_as_of(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("double").alias("below"), F.concat(F.lit("rule "), (order_id % 3).cast("string")).alias("output"),
     )
     return V.rules_as_of(orders, rules, "priority", "total").select("order_id", "output")
+
+
+GAP, LEAST_SESSIONS = 3, 2
+_RULES = f"""
+steps AS (SELECT user_id, session_no, product_id, ts, row_number() OVER (PARTITION BY user_id, session_no ORDER BY ts, event_id) AS p FROM numbered),
+held AS (SELECT DISTINCT user_id, session_no, product_id FROM steps),
+sessions AS (SELECT count(*) AS sessions FROM (SELECT DISTINCT user_id, session_no FROM steps)),
+having_it AS (SELECT product_id, count(*) AS n FROM held GROUP BY 1)"""
+
+
+@query(
+    "session_rules",
+    SESSIONS + "," + _RULES + f""",
+pairs AS (SELECT DISTINCT a.user_id, a.session_no, a.product_id AS antecedent, b.product_id AS consequent
+          FROM steps a JOIN steps b ON a.user_id = b.user_id AND a.session_no = b.session_no AND b.p BETWEEN a.p + 1 AND a.p + {GAP} AND a.product_id <> b.product_id),
+counted AS (SELECT antecedent, consequent, count(*) AS together FROM pairs GROUP BY 1, 2 HAVING count(*) >= {LEAST_SESSIONS})
+SELECT antecedent, consequent, together, together / n AS confidence, together / sessions AS support
+FROM counted JOIN having_it ON antecedent = product_id, sessions""",
+)
+def session_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """SESSION_BASED: what follows what within three steps of a session."""
+    numbered = number_sessions(t.events(spark, folder), DAY // 2, order=("ts", "event_id"))
+    return S.session_rules(numbered, "user_id", "session_no", "product_id", GAP, LEAST_SESSIONS, order=("ts", "event_id"))
+
+
+@query(
+    "view_rules",
+    SESSIONS + f""",
+bought AS (SELECT DISTINCT user_id || '-' || session_no AS basket, product_id FROM numbered WHERE event_type = 'PRODUCT_VIEW'),
+baskets AS (SELECT count(DISTINCT basket) AS n FROM bought),
+frequent AS (SELECT product_id, count(*) AS n FROM bought GROUP BY 1 HAVING count(*) >= 0.001 * (SELECT n FROM baskets)),
+pairs AS (SELECT a.product_id AS trigger, b.product_id AS other, count(*) AS together FROM bought a JOIN bought b ON a.basket = b.basket AND a.product_id <> b.product_id
+          WHERE a.product_id IN (SELECT product_id FROM frequent) AND b.product_id IN (SELECT product_id FROM frequent) GROUP BY 1, 2)
+SELECT 'VIEW_BASED' AS recommendation_type, trigger, [other] AS recommended_products, together / n AS confidence, CAST(0 AS BIGINT) AS timestamp
+FROM pairs JOIN frequent ON trigger = product_id WHERE together >= 0.001 * (SELECT n FROM baskets)""",
+)
+def view_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """VIEW_BASED: what is viewed in the same session, as recommendation messages."""
+    numbered = number_sessions(t.events(spark, folder), DAY // 2, order=("ts", "event_id"))
+    views = numbered.where("event_type = 'PRODUCT_VIEW'").select(F.concat_ws("-", "user_id", "session_no").alias("basket"), "product_id")
+    return as_recommendations(pair_rules(views, "basket", "product_id", 0.001), "VIEW_BASED", F.lit(0).cast("long"))
+
+
+@query(
+    "sliding_panes",
+    """WITH e AS (SELECT event_type AS category, epoch_us(ts) // 1000 AS ts, CAST(round(value * 100) AS BIGINT) AS cents, user_id FROM events),
+w AS (SELECT category, (ts // 600000 - k) * 600000 AS window_start, cents, user_id FROM e, range(36) r(k))
+SELECT category, window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total, CAST(sum(cents) AS DOUBLE) / count(*) AS mean, min(cents) AS least, max(cents) AS most,
+       count(DISTINCT user_id) AS members FROM w GROUP BY 1, 2""",
+)
+def sliding_panes(spark: SparkSession, folder: str) -> DataFrame:
+    """Six-hour windows every ten minutes; the sketches are exact for the few users of a window here."""
+    events = t.table(spark, folder, "events").select(
+        F.col("event_type").alias("category"), t.millis("ts").alias("ts"), F.round(F.col("value") * 100).cast("long").alias("cents"), "user_id"
+    )
+    return P.sliding_by_panes(events, ["category"], 6 * HOUR, HOUR // 6, "cents", "user_id")
+
+
+@query(
+    "active_users_range",
+    """WITH e AS (SELECT epoch_us(ts) // 3600000000 AS hour, user_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+asked AS (SELECT DISTINCT (hour // 24 - k) * 24 AS first_hour FROM e, range(7) r(k))
+SELECT first_hour, count(*) AS n, true AS members_within_5_percent, true AS median_within_2_percent FROM asked JOIN e ON hour >= first_hour AND hour < first_hour + 168 GROUP BY 1""",
+)
+def active_users_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Active users and the median value of every seven days, from stored hours; compared with the exact ones of the raw events."""
+    events = t.events(spark, folder).select("ts", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    path = new_folder(spark)
+    P.store_hourly(events, path, "user_id", "cents")
+    hours = P.stored_hours(spark, path)
+    first = F.explode(F.sequence((F.col("day") - 6) * 24, F.col("day") * 24, F.lit(24)))
+    asked = hours.select("day").distinct().select(first.alias("first_hour"), F.lit(168).cast("long").alias("hours")).distinct()
+    told = P.over_ranges(hours, asked, (0.5,))
+    day = F.explode(F.sequence((P.pane_of("ts", DAY) - 6) * 24, P.pane_of("ts", DAY) * 24, F.lit(24)))
+    raw = events.withColumn("first_hour", day)
+    # The share of values up to the told median; the sketch's error is in ranks.
+    exact = raw.join(told.select("first_hour", "q50"), "first_hour").groupBy("first_hour").agg(
+        F.count_distinct("user_id").alias("users"),
+        (F.count_if(F.col("cents") < F.col("q50")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("cents") <= F.col("q50")) / F.count("*")).alias("upto"),
+    )
+    near = F.abs(F.col("members") - F.col("users")) <= F.greatest(F.col("users") * 0.05, F.lit(1.0))
+    middle = (F.col("below") <= 0.52) & (F.col("upto") >= 0.48)
+    return told.join(exact, "first_hour").select("first_hour", "n", near.alias("members_within_5_percent"), middle.alias("median_within_2_percent"))
+
+
+@query(
+    "indexed_search",
+    "WITH " + t.CATALOGUE + f", words AS (SELECT unnest(['small', 'Blue', 'zzz', 'ed']) AS word)"
+    f" SELECT word, {ALL} FROM catalogue, words WHERE contains(lower(name), lower(word)) OR contains(lower(description), lower(word))",
+)
+def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Four words looked up in an index of the catalogue's trigrams; the last one is too short for it."""
+    products, path = t.catalogue(spark, folder), new_folder(spark)
+    X.write_index(products, path, "product_id", ["name", "description"])
+    out = None
+    for word in ("small", "Blue", "zzz", "ed"):
+        found = X.indexed_search(products, path, "product_id", ["name", "description"], word).select(F.lit(word).alias("word"), *ALL.split(", "))
+        out = found if out is None else out.unionByName(found)
+    return out

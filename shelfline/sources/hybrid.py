@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.keyed import latest
@@ -35,3 +35,39 @@ def initial_state(products: DataFrame, ts: int = 0) -> DataFrame:
         F.col("productId").alias("product_id"), "inventory", "price", "name", F.lit(ts).cast("long").alias("ts")
     )
     return latest(rows, ["product_id"], ["ts", "inventory", "price"])
+
+
+def record_position(spark: SparkSession, folder: str, position: str) -> None:
+    """Write down how far the log in `folder` goes now: its files, as a table at `position`.
+
+    The bootstrap reads up to there, the stream from there on, whatever arrives in between. A position that is there already stays, so that a bootstrap that is
+    repeated hands over at the same place.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{position}/_SUCCESS")
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return
+    files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    files.write.mode("overwrite").parquet(position)
+
+
+def _recorded(spark: SparkSession, position: str) -> DataFrame:
+    return spark.read.schema("file STRING").parquet(position)
+
+
+def _file() -> Column:
+    return F.col("_metadata.file_name")
+
+
+def log_until(spark: SparkSession, folder: str, schema: str, position: str) -> DataFrame:
+    """The log's rows up to a recorded position, as a bounded stage."""
+    rows = spark.read.schema(schema).parquet(folder).withColumn("_file", _file())
+    return rows.join(_recorded(spark, position), F.col("_file") == F.col("file"), "left_semi").drop("_file")
+
+
+def log_since(spark: SparkSession, folder: str, schema: str, position: str, **options: str) -> DataFrame:
+    """The log's rows after a recorded position, as a stream; with `log_until` every row comes once.
+
+    The files of the position are listed with the others and skipped by name.
+    """
+    stream = spark.readStream.schema(schema).options(**options).parquet(folder).withColumn("_file", _file())
+    return stream.join(_recorded(spark, position), F.col("_file") == F.col("file"), "left_anti").drop("_file")
