@@ -15,11 +15,16 @@ from shelfline.session import new_folder, stored
 
 SLOTS = 4096
 SHARDS = 16
+#: How far above its even share a shard may keep its slots when the query's map is edited.
+TOLERANCE = 0.0005
 
 
 def slot_of(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
-    """A record's virtual slot: by its id, or by its text where the id is null."""
-    return F.pmod(F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id)), F.lit(slots)).cast("int")
+    """A record's virtual slot: by its id; records without one are dealt over all slots, so that many equal ones are no hot slot.
+
+    The slot of a record without an id is its own only once it is stored.
+    """
+    return F.pmod(F.when(doc_id.isNull(), F.xxhash64(text, F.monotonically_increasing_id())).otherwise(F.xxhash64(doc_id)), F.lit(slots)).cast("int")
 
 
 def slot_sums(records: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -52,15 +57,20 @@ def first_map(sums: DataFrame, shards: int = SHARDS) -> DataFrame:
     return _fold(one.select("order", loads.alias("loads"))).withColumn("version", F.lit(1))
 
 
+def plain_map(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """(vslot, shard, version 1): the slots in turn, before anything is known of the records."""
+    return spark.range(slots).select(F.col("id").cast("int").alias("vslot"), (F.col("id") % shards).cast("int").alias("shard"), F.lit(1).alias("version"))
+
+
 def rebalanced(current: DataFrame, sums: DataFrame, shards: int, tolerance: float = 0.01) -> DataFrame:
     """The next version of `current` (vslot, shard, version) for `shards` shards and new `sums`; few slots change.
 
-    A shard keeps its slots, smallest first, while they fit into its even share of the bytes and `tolerance` of it;
-    the others, and those of shards that no longer exist, go to the shards with the fewest bytes.
+    A shard keeps its slots, largest first, while they fit into its even share of the bytes and `tolerance` of it;
+    the others, which are small and so even the shares out, and those of shards that no longer exist, go to the shards with the fewest bytes.
     """
     both = current.join(sums, "vslot")
     total = Window.partitionBy()
-    so_far = Window.partitionBy("shard").orderBy("bytes", "vslot").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("shard").orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
     limit = F.sum("bytes").over(total) / shards * (1 + tolerance)
     stays = (F.col("shard") < shards) & (F.sum("bytes").over(so_far) <= limit)
     marked = both.withColumn("stays", stays)
@@ -91,7 +101,7 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 
 def records_of(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot) of `docs` (doc_id, text): size is the text's UTF-8 bytes (null: none) plus 1."""
+    """(doc_id, size, text_crc32, vslot) of `docs` (doc_id, text): size is the text's UTF-8 bytes (null: none) plus 1, of the whole text however long."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(
         "doc_id",
@@ -121,7 +131,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = stored(records_of(table(spark, sf_dir, "documents")))
     sums = stored(slot_sums(records))
     path = new_folder(spark)
-    save_map(first_map(sums), path)
+    save_map(plain_map(spark), path)
+    save_map(rebalanced(load_map(spark, path, 1), sums, SHARDS, TOLERANCE), path)
     placed = place(records, load_map(spark, path), sums)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -15,15 +15,14 @@ from shelfline.session import new_folder
 
 
 def brute_top(vectors, is_query, k):
-    rows = {}
-    for i, v in vectors:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            rows[i] = min(v, rows.get(i, v))
-    whole = {i: np.floor(64 * np.array(v, np.float64)).astype(np.int64) for i, v in rows.items()}
+    whole = [
+        (i, np.floor(64 * np.array(v, np.float64)).astype(np.int64)) for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    ]
     out = []
-    for q in filter(is_query, whole):
-        scores = sorted((-int(v @ whole[q]), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    for row, (q, own) in enumerate(whole):
+        if is_query(q):
+            scores = sorted((-int(v @ own), i) for other, (i, v) in enumerate(whole) if other != row and len(v) == len(own))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -39,20 +38,42 @@ def test_block_index(n, dims, scale):
             assert sorted(index.top(weights, k)) == sorted(np.lexsort((np.arange(n), -scores))[:k])
 
 
-@pytest.mark.parametrize("block_rows,chunk_queries", [(10_000, 10_000), (37, 5)])
-def test_top_k_equals_brute_force(spark, block_rows, chunk_queries):
+@pytest.mark.parametrize("block_rows,chunk_bytes", [(10_000, 1 << 20), (37, 400)])
+def test_top_k_equals_brute_force(spark, block_rows, chunk_bytes):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)]) for i in range(300)]
     rows += [(i, [0.5] * 6) for i in range(300, 420)]  # one common vector
     rows += [(20, [9.0] * 6), (500, None), (520, []), (540, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (560, [float("nan")] * 6), (580, [float("inf")] * 6)]
+    rows += [(40, [300_000.0] * 6), (40, [0.25] * 6), (740, [300_000.0, 1.0]), (741, [2.0, -400_000.0])]  # large ones, and rows that share an id
     rows += [(None, [1.0] * 6), (600, [1.0, 2.0]), (601, [1.0, 3.0]), (700, [0.0] * 6)]
     df = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in rows], "vec_id long, embedding array<float>, score int, block string, q int")
-    got = K.top_k(df, F.col("vec_id") % 20 == 0, block_rows=block_rows, chunk_queries=chunk_queries)
+    got = K.top_k(df, F.col("vec_id") % 20 == 0, block_rows=block_rows, chunk_bytes=chunk_bytes)
     as32 = [(i, v and [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert sorted(map(tuple, got.collect())) == brute_top(as32, lambda i: i % 20 == 0, 20)
     assert K.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_scores_that_do_not_fit_are_an_error(spark):
+    schema = "vec_id long, embedding array<double>"
+    for huge in (1e8, 1e300):
+        with pytest.raises(ValueError):
+            K.top_k(spark.createDataFrame([(1, [huge]), (2, [1.0])], schema), F.lit(True))
+    rows = [(20, [300_000.0, 1.0]), (20, [1.0, 2.0]), (3, [1e7, 0.0])]
+    got = sorted(map(tuple, K.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0).collect()))
+    assert got == brute_top(rows, lambda i: i % 20 == 0, 20) and len(got) == 4
+
+
+def test_index_is_built_once_and_whole(spark):
+    rows = K.quantised(spark.createDataFrame([(i % 50, [float(i % 7), 1.0, -2.0][: 1 + i % 3]) for i in range(200)], "vec_id long, embedding array<double>"))
+    index = K.build_index(K.stored(rows), 16).collect()
+    marks = [m for r in index for m in np.frombuffer(r.marks, "<i8").tolist()]
+    assert len(marks) == len(set(marks)) == 200
+    for r in index:
+        vectors = np.frombuffer(r.vectors, "<i8").reshape(-1, r.dims)
+        fresh, kept = K.BitSlices(vectors), K.BitSlices.stored(vectors, r.low, r.bits, r.slices)
+        assert (fresh.slices == kept.slices).all() and (fresh.there == kept.there).all() and len(vectors) <= 16
+
+
 def test_op4_query(spark):
     vectors = [tuple(r) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").select("vec_id", "embedding").collect()]
     assert sorted(map(tuple, K.op4_topk(spark, DATA).collect())) == brute_top(vectors, lambda i: i % 20 == 0, 20)
@@ -112,6 +133,33 @@ def test_op7_query(spark):
     got = [r for f in by_shard.values() for r in f]
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted((i, len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in texts.items())
     assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)}
+    # The shard of every record, by a second reckoning: slots in turn, then edited by the bytes that they hold.
+    ids = spark.createDataFrame([(i,) for i in texts], "doc_id long")
+    slot = {r.doc_id: r.v for r in ids.select("doc_id", sharding.slot_of(F.col("doc_id"), F.lit(None)).alias("v")).collect()}
+    size = dict.fromkeys(range(sharding.SLOTS), 0)
+    for i, t in texts.items():
+        size[slot[i]] += len(t.encode()) + 1
+    rows = {v: sum(s == v for s in slot.values()) for v in set(slot.values())}
+    limit, loads, shard, moved = sum(size.values()) / 16 * (1 + sharding.TOLERANCE), [0] * 16, {}, []
+    for k in range(16):
+        so_far = 0
+        for v in sorted(range(k, sharding.SLOTS, 16), key=lambda v: (-size[v], v)):
+            so_far += size[v]
+            if so_far <= limit:
+                shard[v], loads[k] = k, loads[k] + size[v]
+            else:
+                moved.append(v)
+    for v in sorted(moved, key=lambda v: (size[v], rows.get(v, 0), v), reverse=True):
+        shard[v] = loads.index(min(loads))
+        loads[shard[v]] += size[v]
+    assert {r.doc_id: r.shard for r in got} == {i: shard[slot[i]] for i in texts}
+    assert max(loads) - min(loads) <= 0.02 * min(loads)
+
+
+def test_many_records_without_an_id_are_no_hot_slot(spark):
+    docs = spark.createDataFrame([(None, "same")] * 5000, "doc_id long, text string")
+    most = sharding.records_of(docs).groupBy("vslot").count().agg(F.max("count")).first()[0]
+    assert most <= 12
 
 
 def test_plans_of_native_operators_have_no_python(spark, capsys):
