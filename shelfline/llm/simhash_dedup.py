@@ -3,8 +3,8 @@
 A fingerprint has eight bytes. Two fingerprints that differ in at most four bits differ in at most four bytes, so they
 agree in four bytes or more, each at its own position: that is the guaranteed minimum of matches. A posting list of one
 byte would hold every 256th fingerprint, and tallying matches over such lists would take a row per 32nd pair of
-fingerprints. The lists are therefore kept for each choice of four positions: two fingerprints meet in a list exactly
-when their tally reaches the minimum, whatever the other bytes are. 70 rows per fingerprint enter the index.
+fingerprints. The count is therefore not taken pair by pair: lists are kept for each choice of four positions, so that two fingerprints meet in a list exactly
+when a tally would reach the minimum, whatever the other bytes are. 70 rows per fingerprint enter the index, and the bits of pairs that meet are verified.
 
 Lists of near copies are long, and their pairs would grow with the square of a group. Pairs are not emitted:
 
@@ -80,13 +80,7 @@ def _postings(prints: DataFrame, max_bits: int) -> DataFrame:
 
 
 def _linked(a: str, b: str, max_bits: int) -> Column:
-    """The tally of agreeing bytes reaches the minimum, and the bits confirm the link."""
-    differ = F.col(a).bitwiseXOR(F.col(b))
-    tally = sum(
-        F.when(differ.bitwiseAND(F.lit(int.from_bytes((0xFF << 8 * p).to_bytes(8, "big"), "big", signed=True))) == 0, 1).otherwise(0)
-        for p in range(8)
-    )
-    return (tally >= 8 - max_bits) & (F.bit_count(differ) <= max_bits)
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
 def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -100,7 +94,7 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = _postings(prints.repartition(parts, "fp"), max_bits)
     lists = index.groupBy("posting").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1").drop("n")
-    members = stored(index.join(lists.hint("shuffle_hash"), "posting"), "snappy")
+    members = stored(index.join(stored(lists), "posting"), "snappy")
 
     to_pivot = members.where((F.col("fp") != F.col("pivot")) & _linked("fp", "pivot", max_bits))
     first = materialise(connected_components(to_pivot.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))))
@@ -115,13 +109,16 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
         .where("parts > 1")
         .drop("parts")
     )
-    rest = materialise(named.join(open_lists, "posting"))
+    rest = stored(named.join(stored(open_lists), "posting"))
+    if rest.isEmpty():
+        return first.select(F.col("node").alias("fp"), "component")
     few = rest.where("part <> largest").select("posting", F.col("fp").alias("fp_a"), F.col("part").alias("part_a"))
     across = few.join(rest, "posting").where(
         (F.col("part") != F.col("part_a"))
         & ((F.col("part") == F.col("largest")) | (F.col("part_a") < F.col("part")))
         & _linked("fp_a", "fp", max_bits)
     )
+    across = stored(across.select("part_a", "part", "fp_a", "fp"))
     second = connected_components(across.select(F.col("part_a").alias("a"), F.col("part").alias("b")))
     joined = second.select(F.col("node").alias("part"), F.col("component").alias("whole"))
     singles = across.select(F.col("fp_a").alias("node")).unionByName(across.select(F.col("fp").alias("node"))).distinct()
@@ -135,8 +132,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     """(doc_id, fingerprint, component_id) for every row of `docs` (doc_id, text).
 
     Null texts and texts without words have fingerprint zero and are linked like others. Repeated rows stay and share
-    a component; a row with a null doc_id gets its component's smallest id, null where no member has one. Other
-    columns are ignored; no rows give no rows.
+    a component; a row with a null doc_id gets its component's smallest id, null where no member has one. Texts of any
+    length are read whole, their shingles tallied in runs. Other columns are ignored; no rows give no rows.
     """
     prints = stored(docs.select("doc_id", fingerprint(F.col("text"), words).alias("fp")))
     return named_components(prints, max_bits).select(
