@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
@@ -106,9 +108,12 @@ def random_spans(text: str, base: list[tuple[int, int, int]], encoding: tiktoken
     that of the parts, or of the whole run.
     """
     found = []
+    starts = [x for x, _, _ in base]  # ascending; and the furthest end of all spans up to each
+    ends = list(accumulate((y for _, _, y in base), max))
     for m in _CANDIDATE.finditer(text):
         for a, b in ((m.start() + a, m.start() + b) for a, b in _random_in(m.group(), encoding)):
-            if not any(x < b and a < y for x, _, y in base):
+            before = bisect_left(starts, b)
+            if not before or ends[before - 1] <= a:
                 found.append((a, 3, b))
     return found
 
