@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,20 +36,6 @@ def pair_rules(lines: DataFrame, basket: str, item: str, min_support: float = 0.
     )
 
 
-def itemset_rules(lines: DataFrame, basket: str, item: str, min_support: float = 0.01, min_confidence: float = 0.0) -> DataFrame:
-    """Rules with antecedents of any length, by MLlib's FP-growth; baskets without a frequent item still count in the support."""
-    bought, baskets, counts = _bought(lines, basket, item, min_support)
-    frequent = counts.select(item, F.lit(True).alias("_frequent"))
-    items = stored(
-        bought.join(frequent, item, "left")
-        .groupBy(basket)
-        .agg(F.collect_set(F.when(F.col("_frequent"), F.col(item))).alias("items"))
-        .select("items")
-    )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    return model.associationRules.withColumn("baskets", F.lit(baskets).cast("long"))
-
-
 def _bought(lines: DataFrame, basket: str, item: str, min_support: float) -> tuple[DataFrame, int, DataFrame]:
     """What each basket holds, the number of baskets, and the frequent items with their counts `_n`; read once, written once."""
     bought = stored(lines.select(basket, item).distinct())

@@ -87,13 +87,16 @@ def _targeted(df: DataFrame, target: Column) -> DataFrame:
 
 
 def to_connections(targeted: DataFrame, connections: DataFrame) -> DataFrame:
-    """Targeted rows per open connection (`connection_id, user_id, session_id`); `all` rows stay whole."""
-    users = connections.select(F.lit("user").alias("target"), F.col("user_id").alias("target_id"), "connection_id")
-    sessions = connections.select(F.lit("session").alias("target"), F.col("session_id").alias("target_id"), "connection_id")
-    one = targeted.where(F.col("target") != "all").join(users.unionByName(sessions), ["target", "target_id"], "inner")
-    return one.unionByName(
-        targeted.where(F.col("target") == "all").withColumn("connection_id", F.lit(None).cast("string"))
-    )
+    """Targeted rows per open connection (`connection_id, user_id, session_id`); `all` rows stay whole.
+
+    One join, each side read once: a connection is listed under its user and its session. Rows for all have a key of their own each, so that they don't meet in one task.
+    """
+    places = F.explode(F.array(*(F.struct(F.lit(kind).alias("_kind"), F.col(f"{kind}_id").cast("string").alias("_id")) for kind in ("user", "session"))))
+    listed = connections.select("connection_id", places.alias("_p")).select("connection_id", "_p.*", F.lit(True).alias("_met"))
+    everyone = F.col("target") == "all"
+    own = F.when(everyone, F.monotonically_increasing_id().cast("string")).otherwise(F.col("target_id").cast("string"))
+    met = targeted.withColumn("_own", own).join(listed, (F.col("target") == F.col("_kind")) & (F.col("_own") == F.col("_id")), "left")
+    return met.where(everyone | F.col("_met")).select(*targeted.columns, "connection_id")
 
 
 def response_connections(responses: DataFrame, connections: DataFrame) -> DataFrame:

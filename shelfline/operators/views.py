@@ -80,11 +80,6 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(items, "order_id", "left")
 
 
-def snapshot(stream_rows: DataFrame, key: str = KEY, order: Sequence[str] = ORDER) -> DataFrame:
-    """The whole view as of the rows seen so far."""
-    return latest(stream_rows, [key], order)
-
-
 def preferred_language(settings: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Each user's last language setting; users back on DEFAULT drop out."""
     return latest(settings, ["user_id"], order).where(F.col("language") != "DEFAULT")
