@@ -94,7 +94,8 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = _postings(prints.repartition(parts, "fp"), max_bits)
     lists = index.groupBy("posting").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1").drop("n")
-    members = stored(index.join(stored(lists), "posting"), "snappy")
+    # The lists grow with the index and are no side to broadcast; a merge join spills, a hash join of partitions would not.
+    members = stored(index.join(lists.hint("merge"), "posting"), "snappy")
 
     to_pivot = members.where((F.col("fp") != F.col("pivot")) & _linked("fp", "pivot", max_bits))
     first = materialise(connected_components(to_pivot.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))))
