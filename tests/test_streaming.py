@@ -341,3 +341,48 @@ def test_replay_has_every_row_once(spark):
         got = streams.emitted(streams.replayed(df).groupBy("n").count(), "update")
         assert sorted(r.n for r in got.collect()) == sorted(r.n for r in df.collect())
         assert {r["count"] for r in got.collect()} <= {1}
+
+
+def test_keys_of_a_bucket_share_one_state_and_one_timer(spark, tmp_path, monkeypatch):
+    """A state per key makes several calls of the state store for each of them: 60 keys had 60 values and as many timers."""
+    monkeypatch.setattr(st, "BUCKETS", 4, raising=False)
+    schema = "user_id STRING, ts LONG, seq LONG, product_id STRING"
+    rows = [(f"u{k}", 1000 + k, k, "p") for k in range(60)]
+    folder = write_files(spark, rows, schema, tmp_path / "in", 1)
+    stream = st.stream_sessions(st.with_event_time(read_stream(spark, folder, schema), "0 seconds"))
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda b, i: b.collect())
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    state = query.recentProgress[0]["stateOperators"][0]
+    assert 0 < state["numRowsTotal"] <= 3 * 4  # a value, a timer and its entry by time
+
+
+def test_keys_that_share_a_bucket_keep_their_own_timers_and_long_lists(spark, tmp_path, monkeypatch):
+    """All keys in one bucket, lists of several chunks: sessions and orphans as in batch, every timer due at its own time."""
+    from shelfline.streaming import processors as P
+
+    monkeypatch.setattr(st, "BUCKETS", 1)
+    monkeypatch.setattr(P, "CHUNK_ITEMS", 3)
+    schema = "user_id STRING, ts LONG, seq LONG, product_id STRING"
+    rng = random.Random(5)
+    rows, ts = [], 0
+    for i in range(150):
+        ts += rng.choice([60_000, 200_000, 900_000])
+        rows.append((rng.choice("uvwx"), ts, i, f"p{i}"))
+    folder = write_files(spark, rows, schema, tmp_path / "in", 4)
+    for k in range(2):
+        write_files(spark, [("z", ts + 10 * HOUR + k, 900 + k, "p")], schema, tmp_path / "in", 1)
+    got = run(spark, st.stream_sessions(st.with_event_time(read_stream(spark, folder, schema), "0 seconds")), tmp_path).where("user_id <> 'z'")
+    cols = ("user_id", "session_start", "timeout_ts", "item_count", "duration_ms")
+    assert found(got, *cols) == found(timers.session_timeouts(spark.createDataFrame(rows, schema)), *cols)
+    assert sorted(p for r in got.collect() for p in r["items"]) == sorted(r[3] for r in rows)
+    assert max(r.item_count for r in got.collect()) > 6
+
+    orders = [(p, 10 + i, i, "ORDER", f"{p}{i}", 1, None, None, None) for i in range(8) for p in "ab"]
+    product = [("a", 100, 50, "PRODUCT", None, 0, 9, 1.0, "A")]
+    folder = str(tmp_path / "orphans")
+    for part in (orders, product, [("z", 3 * HOUR, 90, "PRODUCT", None, 0, 9, 1.0, "Z")], [("z", 3 * HOUR + 1, 91, "PRODUCT", None, 0, 9, 1.0, "Z")]):
+        write_files(spark, part, LEDGER, folder, 1)
+    (tmp_path / "o").mkdir()
+    got = run(spark, st.stream_orphans(st.with_event_time(read_stream(spark, folder, LEDGER), "0 seconds")), tmp_path / "o").where("kind = 'ORDER'")
+    assert found(got, "order_id", "expired") == sorted(((r[4], r[0] == "b") for r in orders), key=str)
