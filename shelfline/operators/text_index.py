@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 256
+#: Postings that a task sorts and writes.
+PART_POSTINGS = 2_000_000
 _GRAM = 3
 
 
@@ -24,16 +26,22 @@ def _bucket(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
 
 
+def _parts(rows: DataFrame, fields: Sequence[str]) -> int:
+    """Partitions of at most PART_POSTINGS postings each, since a text has no more trigrams than characters; no fewer than the session's."""
+    n = rows.agg(F.sum(sum((F.coalesce(F.length(c), F.lit(0)) for c in fields), F.lit(0)).cast("long"))).first()[0] or 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_POSTINGS))
+
+
 def write_index(rows: DataFrame, folder: str, key: str, fields: Sequence[str]) -> None:
     """Write the posting lists of the text columns `fields` of `rows`: (bucket, gram, key), partitioned by bucket and sorted by gram.
 
-    A row has a posting per different trigram of a field, so the index grows with the texts. Lists aren't collected: a common trigram's list is as many rows, which
-    a few files share, since they are dealt by (gram, key).
+    A row has a posting per different trigram of its fields, so the index grows with the texts; rows that share a key repeat it. Lists aren't collected: a common
+    trigram's list is as many rows, which a few files share, since they are dealt by (gram, key). Partitions grow in number with the texts, not in size.
     """
-    grams = rows.select(key, F.explode(F.array(*(trigrams(F.col(c)) for c in fields))).alias("g")).where(F.col("g").isNotNull())
-    postings = grams.select(key, F.explode("g").alias("gram")).distinct().withColumn("bucket", _bucket(F.col("gram")))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings.repartitionByRange(parts, "bucket", "gram", key).sortWithinPartitions("bucket", "gram", key).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    grams = F.array_distinct(F.flatten(F.array(*(trigrams(F.col(c)) for c in fields))))
+    postings = rows.select(key, F.explode(grams).alias("gram")).withColumn("bucket", _bucket(F.col("gram")))
+    dealt = postings.repartitionByRange(_parts(rows, fields), "bucket", "gram", key).sortWithinPartitions("bucket", "gram", key)
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
 
 def candidates(spark: SparkSession, folder: str, key: str, key_type: str, text: str) -> DataFrame | None:
@@ -46,7 +54,7 @@ def candidates(spark: SparkSession, folder: str, key: str, key_type: str, text:
     buckets = [r.bucket for r in wanted.select("bucket").distinct().collect()]
     lists = spark.read.schema(f"gram STRING, {key} {key_type}, bucket INT").parquet(folder)
     hit = lists.where(F.col("bucket").isin(*buckets) & F.col("gram").isin(*grams))
-    return hit.groupBy(key).agg(F.count("*").alias("_grams")).where(F.col("_grams") == len(grams)).select(key)
+    return hit.groupBy(key).agg(F.size(F.collect_set("gram")).alias("_grams")).where(F.col("_grams") == len(grams)).select(key)
 
 
 def indexed_search(rows: DataFrame, folder: str, key: str, fields: Sequence[str], text: str) -> DataFrame:

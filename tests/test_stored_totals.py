@@ -99,6 +99,19 @@ def test_index_finds_what_a_scan_finds_and_reads_matching_lists(spark, tmp_path)
     assert X.candidates(spark, str(tmp_path), "id", "bigint", "ab") is None
 
 
+def test_index_is_written_in_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Their number was that of the session's shuffle partitions, so a task's share grew with the texts; rows that share a key are candidates once."""
+    monkeypatch.setattr(X, "BUCKETS", 1)
+    monkeypatch.setattr(X, "PART_POSTINGS", 500, raising=False)
+    df = spark.range(400).selectExpr("id % 390 AS id", "concat('row number ', id % 390) AS name")
+    X.write_index(df, str(tmp_path), "id", ["name"])
+    sizes = spark.read.parquet(str(tmp_path)).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) <= 1000
+    found = X.indexed_search(df, str(tmp_path), "id", ["name"], "number 38")
+    assert sorted(r.id for r in found.collect()) == sorted(k % 390 for k in range(400) if f"number {k % 390}".startswith("number 38"))
+    assert X.candidates(spark, str(tmp_path), "id", "bigint", "number 7").count() == X.candidates(spark, str(tmp_path), "id", "bigint", "number 7").distinct().count()
+
+
 def test_nothing_is_lost_or_doubled_between_bootstrap_and_stream(spark, tmp_path):
     """Rows that arrive while the bootstrap runs come with the stream, also when the bootstrap is started again."""
     log, position, schema = str(tmp_path / "log"), str(tmp_path / "position"), "n INT"
