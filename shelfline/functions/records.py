@@ -365,6 +365,12 @@ def ui_update(payload: Column, timestamp: Column) -> Column:
     )
 
 
+def ui_update_text(payload: Column, timestamp: Column) -> Column:
+    """The text of `ui_update` for a payload that is JSON text already."""
+    at = F.coalesce(F.concat(F.lit(',"timestamp":'), timestamp.cast("string")), F.lit(""))
+    return F.concat(F.lit('{"eventType":"INVENTORY_UPDATE","payload":'), payload, at, F.lit("}"))
+
+
 def by_envelope_type(df: DataFrame) -> DataFrame:
     """Envelope text with its parsed `eventType`; unknown types are marked, not fatal."""
     kind = F.get_json_object(VALUE, "$.eventType")

@@ -204,13 +204,18 @@ def stock_change(before: Column, after: Column) -> Column:
     )
 
 
+def number_text(n: Column) -> Column:
+    """A whole number in a text, as `%d` writes it, null too: `format_string` reads its format anew for every row."""
+    return F.coalesce(n.cast("string"), F.lit("null"))
+
+
 def stock_change_reason(change: Column, before: Column, after: Column) -> Column:
     # The texts of the message contract, here and in the events and alerts below.
     return (
         F.when(change == "OUT_OF_STOCK", F.lit("Product is now out of stock"))
-        .when(change == "BACK_IN_STOCK", F.format_string("Product restocked with %d units", after))
-        .when(change == "INVENTORY_DECREASED", F.format_string("%d units sold/removed", before - after))
-        .when(change == "INVENTORY_INCREASED", F.format_string("%d units added to inventory", after - before))
+        .when(change == "BACK_IN_STOCK", F.concat(F.lit("Product restocked with "), number_text(after), F.lit(" units")))
+        .when(change == "INVENTORY_DECREASED", F.concat(number_text(before - after), F.lit(" units sold/removed")))
+        .when(change == "INVENTORY_INCREASED", F.concat(number_text(after - before), F.lit(" units added to inventory")))
     )
 
 
@@ -312,7 +317,7 @@ def low_stock_alert(stock: Column) -> Column:
     return F.struct(
         F.lit("LOW_STOCK").alias("alert_type"),
         F.when(stock <= 5, "CRITICAL").otherwise("WARNING").alias("severity"),
-        F.format_string("Low stock: only %d items remaining", stock).alias("message"),
+        F.concat(F.lit("Low stock: only "), number_text(stock), F.lit(" items remaining")).alias("message"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfline.functions.records import parse_once
 from shelfline.operators import ledger as L
 from shelfline.operators import routing as R
 from shelfline.operators.running import cents, running_global
@@ -167,12 +168,13 @@ def topic_messages(spark, folder):
     """All messages of one ledger pass, read back field by field."""
     sent = ledger_messages(L.ledger_outputs(L.ledger(t.ledger_rows(spark, folder), t.LINE_ORDER)))
     wrapped = F.col("topic") == TOPIC_UI_FANOUT
-    body = F.when(wrapped, F.get_json_object("value", "$.payload")).otherwise(F.col("value"))
     fields = "eventType string, alertType string, timestamp bigint, currentInventory int, inventoryChange int, critical boolean, changeReason string, message string"
-    read = sent.select("key", "topic", F.when(wrapped, F.get_json_object("value", "$.eventType")).alias("wrapped"), F.from_json(body, fields).alias("r"))
-    kind = F.coalesce("r.eventType", "r.alertType")
+    whole = F.from_json("value", f"{fields}, payload struct<{fields.replace(' ', ':').replace(',:', ', ')}>")
+    read = parse_once(sent, "_whole", whole)
+    read = read.select("key", "topic", wrapped.alias("_ui"), F.when(wrapped, F.col("_whole.eventType")).alias("wrapped"), "_whole")
+    of = lambda name: F.when(F.col("_ui"), F.col(f"_whole.payload.{name}")).otherwise(F.col(f"_whole.{name}"))
     return read.select(
-        "key", "topic", "wrapped", kind.alias("kind"), F.col("r.timestamp").alias("ts"), F.col("r.currentInventory").alias("current_inventory"),
-        F.col("r.inventoryChange").alias("change"), F.col("r.critical").alias("critical"),
-        F.coalesce("r.changeReason", "r.message").alias("text"),
+        "key", "topic", "wrapped", F.coalesce(of("eventType"), of("alertType")).alias("kind"), of("timestamp").alias("ts"),
+        of("currentInventory").alias("current_inventory"), of("inventoryChange").alias("change"), of("critical").alias("critical"),
+        F.coalesce(of("changeReason"), of("message")).alias("text"),
     )

@@ -6,6 +6,7 @@ import pytest
 from conftest import DATA, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfline.operators import ledger as L
 from shelfline.operators.keyed import order_by_key
@@ -154,3 +155,18 @@ def test_plan_has_one_exchange(spark):
     df = L.ledger(t.ledger_rows(spark, DATA), t.LINE_ORDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_messages_are_written_and_read_once_per_event(spark):
+    """Every event was made into JSON for each of its two topics, and read with two more parses; odd texts and nulls come out the same."""
+    from shelfline.functions.records import ui_update, ui_update_text
+    from shelfline.plans.routes import topic_messages
+
+    plan = topic_messages(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+    df = spark.createDataFrame([('a "q" \\ ä\n', 1.5, 7), (None, None, None), ("x", None, -3)], "name string, price double, ts long")
+    body = F.struct("name", "price")
+    got = df.select(ui_update(body, F.col("ts")).alias("a"), ui_update_text(F.to_json(body), F.col("ts")).alias("b")).collect()
+    assert len(got) == 3 and all(r.a == r.b for r in got)
+    texts = df.select(L.number_text(F.col("ts")).alias("a"), F.format_string("%d", "ts").alias("b")).collect()
+    assert all(r.a == r.b for r in texts)
