@@ -25,13 +25,15 @@ WORD_END = "</w>"
 #: str.split also splits at these four, which the vocabulary takes as symbols.
 _CONTROL = ("\x1c", "\x1d", "\x1e", "\x1f")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+#: Marks that are pieces of their own behind letters; the first character past Latin letters, below which every text is in form NFC.
+_MARKS, _PLAIN_END = frozenset(".,;:!?"), "\u0250"
 _SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL)) + ")")
 
 #: Words and pieces that a worker remembers, and characters encoded at once.
 MEMO_WORDS, MEMO_PIECES, AT_ONCE = 300_000, 250_000, 1 << 20
 
-#: Encodes many pieces (normalised, without white space) into arrays of ids.
-PieceEncoder = Callable[[list[str]], list[np.ndarray]]
+#: Encodes many pieces (normalised, without white space) into arrays of ids, or into bytes as the memo keeps them.
+PieceEncoder = Callable[[list[str]], list[np.ndarray] | list[bytes]]
 
 
 @lru_cache(1)
@@ -55,6 +57,13 @@ def split_words(text: str) -> list[str]:
 
 def pieces(word: str) -> list[str]:
     """A word's pieces after normalisation; letters are lower-cased one by one, without a rule for final sigma."""
+    low = word.lower()
+    if low.isascii() or max(low) < _PLAIN_END:  # most words; nothing there to normalise
+        if low.isalpha():
+            return [low]
+        if low[-1:] in _MARKS and low[:-1].isalpha():
+            return [low[:-1], low[-1]]
+        return PIECES.findall(low)
     return PIECES.findall(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
 
 
@@ -78,26 +87,33 @@ class WordMemo:
         yield from self._some(held)
 
     def _some(self, texts: list[list[str]]) -> Iterator[bytes]:
-        new: set[str] = set()
-        for words in texts:
-            new.update(words)
-        self._learn([w for w in new if w not in self._words])
-        for words in texts:
-            yield b"".join(map(self._words.__getitem__, words))
+        known = self._words
+        found = [list(map(known.get, words)) for words in texts]
+        self._learn({w for words, ids in zip(texts, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None})
+        for words, ids in zip(texts, found, strict=True):
+            if None in ids:
+                ids = [known[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+            yield b"".join(ids)
         _forget(self._words, self._caps[0])
         _forget(self._pieces, self._caps[1])
 
-    def _learn(self, words: list[str]) -> None:
-        cut = {}
+    def _learn(self, words: Iterable[str]) -> None:
+        whole, cut = {}, {}  # words of one piece apart: a list for each would keep the garbage collector busy
         for word in words:
             if "<|" in word:
-                cut[word] = [y for x in _SPECIAL.split(word) for y in ([x] if x in SPECIAL else pieces(x))]
+                ps = [y for x in _SPECIAL.split(word) for y in ([x] if x in SPECIAL else pieces(x))]
             else:
-                cut[word] = pieces(word)
-        unknown = list({p for ps in cut.values() for p in ps}.difference(self._pieces))
-        self._pieces.update(zip(unknown, (x.astype("<i4").tobytes() for x in self._encode(unknown)), strict=True))
-        for word, ps in cut.items():
-            self._words[word] = b"".join(map(self._pieces.__getitem__, ps))
+                ps = pieces(word)
+            if len(ps) == 1:
+                whole[word] = ps[0]
+            else:
+                cut[word] = ps
+        unknown = list(set(whole.values()).union(*cut.values()).difference(self._pieces))
+        encoded = (x if isinstance(x, bytes) else x.astype("<i4").tobytes() for x in self._encode(unknown))
+        self._pieces.update(zip(unknown, encoded, strict=True))
+        known = self._pieces
+        self._words.update((word, known[p]) for word, p in whole.items())
+        self._words.update((word, b"".join([known[p] for p in ps])) for word, ps in cut.items())
 
 
 def _forget(memo: dict, cap: int) -> None:
@@ -110,11 +126,13 @@ def library_encoder(path: str) -> PieceEncoder:
     """Pieces by the model of the `tokenizers` library."""
     from tokenizers import Tokenizer
 
-    model, letters = Tokenizer.from_file(path).model, byte_letters()
+    tokenizer, letters = Tokenizer.from_file(path), byte_letters()
+    model, packed = tokenizer.model, [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values()) + 1)]
 
-    def encode(found: list[str]) -> list[np.ndarray]:
-        mapped = ("".join([letters[b] for b in p.encode()]) for p in found)
-        return [np.array([t.id for t in model.tokenize(p)], np.int32) for p in mapped]
+    def encode(found: list[str]) -> list[bytes]:
+        # The letters of ASCII letters, digits and marks are these themselves.
+        mapped = (p if p.isascii() and p.isprintable() else "".join([letters[b] for b in p.encode()]) for p in found)
+        return [b"".join([packed[t.id] for t in model.tokenize(p)]) for p in mapped]
 
     return encode
 

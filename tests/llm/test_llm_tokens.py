@@ -164,3 +164,16 @@ def test_op9_query(spark, real):
     rows = token_counts.op9_token_counts(spark, DATA).collect()
     assert sum(r.documents for r in rows) == len(real)
     assert sum(r.tokens for r in rows) == sum(len(library_ids(t)) for t in real)
+
+
+def test_latin_words_are_cut_without_normalising(monkeypatch):
+    """The same pieces for every character, and no normalising of the words that most texts consist of."""
+
+    def general(word):
+        return words.PIECES.findall(words.unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
+
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000), *range(0x1D400, 0x1D500)]):
+        for word in (c, f"a{c}b", f"É{c},", f"A{c}1", f"{c}'s"):
+            assert words.pieces(word) == general(word)
+    monkeypatch.setattr(words.unicodedata, "normalize", None)
+    assert [words.pieces(w) for w in ("", "Word", "Öl,", "it's", "a--1")] == [[], ["word"], ["öl", ","], ["it", "'s"], ["a", "--", "1"]]
