@@ -95,20 +95,21 @@ def parse_products(df: DataFrame) -> Parsed:
     def nested(v: Column) -> Column:
         return F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
 
+    def bad_field(field: Column) -> Column:
+        name, v = field["key"], field["value"]
+        text, tags = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "array<variant>")
+        given = v.isNotNull() & ~F.is_variant_null(v)
+        return (
+            F.when(name == "tags", F.coalesce(given & (tags.isNull() | F.exists(tags, nested)), F.lit(False)))
+            .when(~name.isin(names) | nested(v), True)
+            .when(name.isin(*_PRODUCT_INTS), text.isNotNull() & to_int(text).isNull())
+            .when(name.isin(*_PRODUCT_DOUBLES), text.isNotNull() & text.try_cast("double").isNull())
+            .otherwise(False)
+        )
+
     def unreadable(e: Column) -> Column:
-        m = e["v"]
-        text = lambda c: F.try_variant_get(m[c], "$", "string")
-        wrong = m.isNull() | (F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, names)))) > 0)
-        for c in names:
-            if c != "tags":
-                wrong = wrong | nested(m[c])
-        for c in _PRODUCT_INTS:
-            wrong = wrong | (text(c).isNotNull() & to_int(text(c)).isNull())
-        for c in _PRODUCT_DOUBLES:
-            wrong = wrong | (text(c).isNotNull() & text(c).try_cast("double").isNull())
-        tags = F.try_variant_get(m["tags"], "$", "array<variant>")
-        given = m["tags"].isNotNull() & ~F.is_variant_null(m["tags"])
-        return wrong | F.coalesce(given & (tags.isNull() | F.exists(tags, nested)), F.lit(False))
+        # Only the fields that are there: a look at every known name costs most on records that have few.
+        return F.when(e["v"].isNull(), True).otherwise(F.exists(F.map_entries(e["v"]), bad_field))
 
     reason = (
         F.when(~is_array & ~is_object, "not JSON")
@@ -116,7 +117,7 @@ def parse_products(df: DataFrame) -> Parsed:
         .when(F.exists("_elements", unreadable), "unknown field or unreadable value")
     )
     read = parse_once(df.where((body != "") & body.isNotNull()), "_elements", elements)
-    read = read.withColumn("reject_reason", reason)
+    read = parse_once(read, "reject_reason", reason)
     # A rejected text gives one row without a product.
     kept = F.when(F.col("reject_reason").isNull(), F.col("_elements.v"))
     none = F.array(F.lit(None).cast("map<string,variant>"))

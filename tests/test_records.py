@@ -180,3 +180,11 @@ def test_assistant_and_chat(spark):
     chat = spark.createDataFrame([("u", 1, "m")], "user_id STRING, timestamp LONG, message STRING")
     row = R.enrich_chat(chat, F.array(F.lit("DE"), F.lit("DEFAULT"), F.lit("DE"))).first()
     assert row.translations == {"DE": None}
+
+
+def test_product_rules_are_in_the_plan_once(spark):
+    """Neither a filter on valid records nor one on their fields repeats the check of a record."""
+    texts = spark.createDataFrame([('{"productId": "p", "name": "n", "price": 1, "inventory": 2}',)], "value string")
+    valid = R.parse_products(texts).valid.where("name <> '' and inventory >= 0").select("productId")
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schema_of_variant") <= 2
