@@ -128,13 +128,14 @@ UNION ALL SELECT product_id, ts, order_id, line_no, 'INVENTORY_DECREASED', previ
 def stream_inventory_events(spark, folder):
     """The ledger on a stream of the lines, micro-batch by micro-batch, with stored state."""
     root = new_root(spark)
-    rows = t.as_ledger_rows(stream_table(spark, folder, "lineitem")).withColumn("seq", F.struct(*t.LINE_ORDER[1:]))
+    rows = t.as_ledger_rows(stream_table(spark, folder, "lineitem"))
     state = StateTable(f"{root}/state", "product_id BIGINT, inventory INT, price DOUBLE, name STRING, ts BIGINT")
 
     def outputs(events, alerts, batch_id):
-        write_slices(root, {"events": events.drop("seq"), "alerts": alerts.drop("seq")}, batch_id)
+        write_slices(root, {"events": events, "alerts": alerts}, batch_id)
 
-    stream = rows.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(ledger_sink(state, outputs))
+    handle = ledger_sink(state, outputs, t.LINE_ORDER, reread=True)
+    stream = rows.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(handle)
     stream.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/events").select(
         "product_id", "ts", "order_id", "line_no", "event_type", "previous_inventory", "current_inventory"

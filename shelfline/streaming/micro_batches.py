@@ -47,7 +47,7 @@ class StateTable:
         paths = [f"{self.root}/full/batch={base}"] if base else []
         paths += [f"{self.root}/delta/batch={i}" for i in range(base, until)]
         if not paths:
-            return spark.createDataFrame([], self.schema)
+            return spark.createDataFrame([], self.schema).where(F.lit(False))  # so that the optimizer knows it to be empty
         rows = None
         for rank, path in enumerate(paths):
             part = spark.read.schema(self.schema).parquet(path).withColumn("_rank", F.lit(rank))
@@ -55,24 +55,23 @@ class StateTable:
         return latest(rows, [self.key], ["_rank"]).drop("_rank")
 
 
-def ledger_step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+def ledger_step(batch: DataFrame, state: DataFrame, order: Sequence[str] = ("ts", "seq")) -> tuple[DataFrame, DataFrame]:
     """Ledger rows of one micro-batch given the state before it, and the state rows it changes.
 
-    A product's state enters as a catalogue row ahead of the batch's rows.
+    A product's state enters as a catalogue row ahead of the batch's rows, which are in `order`.
     """
     touched = state.join(batch.select(KEY).distinct(), KEY, "left_semi")
     opening = touched.select(
         KEY,
         F.col("ts"),
-        F.lit(None).cast(batch.schema["seq"].dataType).alias("seq"),
         F.lit("PRODUCT").alias("kind"),
         "inventory", "price", "name",
         F.lit(0).alias("_live"),
     )
     rows = opening.unionByName(batch.withColumn("_live", F.lit(1)), allowMissingColumns=True)
-    entries = ledger(rows, ("_live", "ts", "seq")).where(F.col("_live") == 1).drop("_live")
+    entries = ledger(rows, ("_live", *order)).where(F.col("_live") == 1).drop("_live")
     now = latest(
-        entries.select(KEY, "current_inventory", "current_price", "product_name", "ts", "seq"), [KEY], ("ts", "seq")
+        entries.select(KEY, "current_inventory", "current_price", "product_name", *dict.fromkeys(("ts", *order))), [KEY], order
     ).select(
         KEY,
         F.col("current_inventory").alias("inventory"),
@@ -84,18 +83,21 @@ def ledger_step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def ledger_sink(
-    state: StateTable, outputs: Callable[[DataFrame, DataFrame, int], None]
+    state: StateTable, outputs: Callable[[DataFrame, DataFrame, int], None], order: Sequence[str] = ("ts", "seq"), reread: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function: ledger step, then `outputs(events, alerts, batch_id)`, then the state.
 
+    A batch is read for its keys, for hot keys and for the ledger. With `reread` it is read from its source each time, which for files in columns costs less than
+    keeping all rows; leave it out where rows are parsed from texts or come from a stateful step.
+
     `outputs` must be idempotent in the batch id. State is written last: a batch that fails before
     that runs again from the same state.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()  # read for its keys, for hot keys and for the ledger
-        entries, now = ledger_step(batch, state.before(spark, batch_id))
+        batch = batch if reread else batch.persist()
+        entries, now = ledger_step(batch, state.before(spark, batch_id), order)
         entries = entries.persist()
         try:
             outputs(ledger_events(entries), ledger_alerts(entries), batch_id)
@@ -103,7 +105,8 @@ def ledger_sink(
             state.write(spark, batch_id, now)
         finally:
             entries.unpersist()
-            batch.unpersist()
+            if not reread:
+                batch.unpersist()
 
     return handle
 

@@ -13,7 +13,7 @@ from shelfline.operators import running, timers
 from shelfline.plans import jobs
 from shelfline.sinks import topics as out
 from shelfline.streaming import stateful as st
-from shelfline.streaming.micro_batches import StateTable, ledger_step, view_sink
+from shelfline.streaming.micro_batches import StateTable, ledger_sink, ledger_step, view_sink
 
 LEDGER = "product_id STRING, ts LONG, seq LONG, kind STRING, order_id STRING, qty INT, inventory INT, price DOUBLE, name STRING"
 HOUR = 3_600_000
@@ -144,6 +144,33 @@ def test_state_table_survives_retries_and_compaction(spark, tmp_path):
     assert sorted(seen, key=str) == found(L.ledger(spark.createDataFrame(rows, LEDGER)), *COLS)
 
 
+def test_first_micro_batch_has_one_exchange_and_no_join(spark, tmp_path):
+    batch = spark.createDataFrame(log(50, 4), LEDGER)
+    entries, _ = ledger_step(batch, StateTable(str(tmp_path / "state")).before(spark, 0), ("ts", "seq", "order_id"))
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_micro_batches_read_again_give_the_same_ledger(spark, tmp_path, files):
+    """Rows that are read from their source each time, in an order of several columns: nothing but the ledger is kept, and it equals the batch form."""
+    rows, kept = log(150, 8), []
+    folder = write_files(spark, rows, LEDGER, tmp_path / "in", files)
+
+    def outputs(events, alerts, batch_id):
+        kept.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        events.write.mode("overwrite").parquet(str(tmp_path / f"events/batch={batch_id}"))
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    handle = ledger_sink(StateTable(str(tmp_path / "state"), full_every=2), outputs, ("ts", "seq", "order_id"), reread=True)
+    stream = read_stream(spark, folder, LEDGER).writeStream.foreachBatch(handle).option("checkpointLocation", str(tmp_path / "cp"))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    want = L.ledger_events(L.ledger(spark.createDataFrame(rows, LEDGER), ("ts", "seq", "order_id")))
+    cols = ("product_id", "ts", "seq", "event_type", "previous_inventory", "current_inventory")
+    assert found(spark.read.parquet(str(tmp_path / "events")), *cols) == found(want, *cols)
+    assert len(kept) == files and max(kept) <= before + 1
+
+
 def test_view_is_published_whole_after_every_batch(spark, tmp_path):
     schema = "product_id STRING, inventory INT, ts LONG"
     folder = tmp_path / "in"
