@@ -413,3 +413,99 @@ def test_keys_that_share_a_bucket_keep_their_own_timers_and_long_lists(spark, tm
     (tmp_path / "o").mkdir()
     got = run(spark, st.stream_orphans(st.with_event_time(read_stream(spark, folder, LEDGER), "0 seconds")), tmp_path / "o").where("kind = 'ORDER'")
     assert found(got, "order_id", "expired") == sorted(((r[4], r[0] == "b") for r in orders), key=str)
+
+
+class Chunks(dict):
+    """Map state by itself."""
+
+    updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
+
+
+def packed_batches(seed, at_most=15):
+    """Micro-batches of ledger rows in any order, with equal times, as Arrow tables."""
+    import pyarrow as pa
+
+    rng, ts, seq = random.Random(seed), 0, 0
+    kinds = {"STRING": pa.string(), "LONG": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in LEDGER.split(", ")])
+    for _ in range(6):
+        rows = []
+        for _ in range(rng.randrange(1, at_most)):
+            ts, seq, pid = ts + rng.choice([0, 0, 1, 10, 30, 80]), seq + 1, rng.choice("abcde")
+            if rng.random() < 0.2:
+                rows.append((pid, ts, seq, "PRODUCT", None, 0, rng.randrange(12), rng.choice([5.0, None]), pid.upper()))
+            else:
+                rows.append((pid, ts, seq, "ORDER", f"o{seq}", rng.randint(0, 5), None, None, None))
+        rng.shuffle(rows)
+        yield sorted(rows, key=lambda r: r[1:3]), pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_ledger_of_a_packed_batch_equals_row_by_row(seed):
+    """Stock, price and quiet gaps of whole Arrow tables against one row after the other."""
+    from shelfline.streaming import processors as P
+
+    ledger, own, known, end = P.LedgerProcessor(50), None, {}, 0
+    own = ledger.empty()
+    for rows, table in packed_batches(seed):
+        want = []
+        for pid, ts, seq, kind, _, qty, inventory, price, _ in rows:
+            was = known.get(pid)
+            if was and not was[3] and ts - was[2] > 50:
+                want.append((pid, was[2] + 50, None, "STALE", None, was[0], None, None))
+            if kind == "PRODUCT" or was:
+                now = (inventory, price) if kind == "PRODUCT" else (max(0, was[0] - qty), was[1])
+                known[pid] = (*now, ts, False)
+                want.append((pid, ts, seq, kind, was[0] if was else None, now[0], was[1] if was else None, now[1]))
+        out, own = ledger.fold(own, table)
+        cols = ("product_id", "ts", "seq", "kind", "previous_inventory", "current_inventory", "previous_price", "current_price")
+        got = [tuple(r[c] for c in cols) for t in out for r in t.to_pylist()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert ledger.due(own) == min((v[2] + 50 for v in known.values() if not v[3]), default=None)
+        end += 90
+        out, own = ledger.fire(own, end)
+        gone = {k: v for k, v in known.items() if not v[3] and v[2] + 50 <= end}
+        assert sorted((r["product_id"], r["ts"], r["current_inventory"]) for t in out for r in t.to_pylist()) == sorted((k, v[2] + 50, v[0]) for k, v in gone.items())
+        known |= {k: (*v[:3], True) for k, v in gone.items()}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_orphans_of_a_packed_batch_equal_row_by_row(seed, monkeypatch):
+    """Orders held, released and given up of whole Arrow tables against one row after the other; lists of several chunks."""
+    from shelfline.streaming import processors as P
+
+    monkeypatch.setattr(P, "CHUNK_ITEMS", 2 + seed % 3)
+    orphans, known, waits, end = P.OrphanProcessor(60), set(), {}, 0
+    orphans.chunks, own = Chunks(), orphans.empty()
+    given = lambda out: sorted((r["product_id"], r["ts"], r["seq"], r["kind"], r["expired"]) for t in out for r in t.to_pylist())
+    for rows, table in packed_batches(seed):
+        want = []
+        for pid, ts, seq, kind, *_ in rows:
+            if kind != "PRODUCT" and pid not in known:
+                waits.setdefault(pid, []).append((ts, seq))
+                continue
+            want.append((pid, ts, seq, kind, False))
+            want += [(pid, max(ts, at), k, "ORDER", False) for at, k in waits.pop(pid, [])]
+            known.add(pid)
+        out, own = orphans.fold(own, table)
+        assert given(out) == sorted(want)
+        assert orphans.due(own) == min((v[0][0] + 60 for v in waits.values()), default=None)
+        end += 70
+        out, own = orphans.fire(own, end)
+        gone = [k for k, v in waits.items() if v[0][0] + 60 <= end]
+        assert given(out) == sorted((k, at, seq, "ORDER", True) for k in gone for at, seq in waits.pop(k))
+    assert bool(orphans.chunks) == bool(own[2])
+
+
+def test_rows_are_packed_before_the_shuffle_and_late_ones_stay_out(spark, tmp_path):
+    """A bucket's rows come to the state as a table, and a row that the watermark had passed gives nothing."""
+    first, later = [("a", 1000, 1, "PRODUCT", None, 0, 9, 1.0, "A")], [("a", 90 * HOUR, 2, "ORDER", "o", 1, None, None, None)]
+    late = [("a", 2000, 3, "ORDER", "o", 5, None, None, None), ("a", 91 * HOUR, 4, "ORDER", "o", 1, None, None, None)]
+    folder = str(tmp_path / "in")
+    for k, rows in enumerate((first, later, [("a", 90 * HOUR + 1, 5, "ORDER", "o", 1, None, None, None)], late)):
+        spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(folder)
+    stream = st.stream_ledger(st.with_event_time(read_stream(spark, folder, LEDGER), "0 seconds"), timeout_ms=1000 * HOUR)
+    text = stream._jdf.queryExecution().analyzed().toString()
+    assert text.count("MapInArrow") == 2
+    got = run(spark, stream, tmp_path).select("seq", "current_inventory").collect()
+    assert sorted(map(tuple, got)) == [(1, 9), (2, 8), (4, 6), (5, 7)]
